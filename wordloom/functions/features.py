@@ -7,6 +7,7 @@ denominator, which for a misspelling is the length of the correct word.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -26,7 +27,8 @@ def _longest_piece(word: Column, separator: str) -> Column:
 
 
 def num_vowels(word: Column) -> Column:
-    return F.length(F.regexp_replace(F.lower(word), _NOT_VOWEL, ""))
+    low = F.lower(word)
+    return F.length(low) - F.length(F.translate(low, K.VOWELS, ""))
 
 
 def num_consonants(word: Column) -> Column:
@@ -56,7 +58,7 @@ def has_double_letters(word: Column) -> Column:
 
 def has_repeated_vowels(word: Column) -> Column:
     only_vowels = F.regexp_replace(F.lower(word), _NOT_VOWEL, "")
-    return _flag(only_vowels.rlike("|".join(v + v for v in K.VOWELS)))
+    return _flag(reduce(lambda a, b: a | b, [only_vowels.contains(v + v) for v in K.VOWELS]))
 
 
 def is_alternating(word: Column) -> Column:
@@ -95,7 +97,7 @@ def unique_vowels(word: Column) -> Column:
 
 
 def unique_consonants(word: Column) -> Column:
-    return distinct_chars(F.regexp_replace(F.lower(word), _VOWEL, ""))
+    return distinct_chars(F.translate(F.lower(word), K.VOWELS, ""))
 
 
 def is_vowel(letter: Column) -> Column:

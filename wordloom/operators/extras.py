@@ -81,15 +81,14 @@ def char_frequency(vocab: DataFrame) -> DataFrame:
     )
 
 
-def char_grams(word: Column, sizes: tuple[int, ...] = (2, 3, 4)) -> Column:
+def _grams_of_size(word: Column, k: int) -> Column:
     n = F.length(word)
-    per_size = [
-        F.when(
-            n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), lambda i, k=k: F.substr(word, i, F.lit(k)))
-        ).otherwise(F.array().cast("array<string>"))
-        for k in sizes
-    ]
-    return F.concat(*per_size)
+    slices = F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substr(word, i, F.lit(k)))
+    return F.when(n >= k, slices).otherwise(F.array().cast("array<string>"))
+
+
+def char_grams(word: Column, sizes: tuple[int, ...] = (2, 3, 4)) -> Column:
+    return F.concat(*[_grams_of_size(word, k) for k in sizes])
 
 
 def gram_documents(words: DataFrame, sizes: tuple[int, ...] = (2, 3, 4)) -> DataFrame:

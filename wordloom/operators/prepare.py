@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from wordloom import constants as K
-from wordloom.operators.ranking import dense_index
+from wordloom.operators.ranking import dense_index, hash_share
 from wordloom.staging import stage
 
 ENCODED = ("error_type",) + K.CATEGORICAL
@@ -117,7 +117,7 @@ def split_by_group(
     if mode != "exact":
         raise ValueError(f"unknown mode {mode!r}")
     groups = df.select(group).distinct().withColumn("_h", group_order(group, seed))
-    ranked = stage(dense_index(groups, [F.col("_h"), F.col(group)], "_r"), "groups")
+    ranked = stage(dense_index(groups, [F.col("_h"), F.col(group)], "_r", hash_share(F.col("_h"))), "groups")
     total = ranked.agg(F.count(F.lit(1)).alias("g"))
     held = F.ceil(total.scalar() * share)
     place = ranked.withColumn("_held", held).withColumn("_test", F.ceil(F.col("_held") * test))

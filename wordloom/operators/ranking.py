@@ -8,16 +8,30 @@ from wordloom import constants as K
 from wordloom.staging import stage
 
 
-def dense_index(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+# Most shares that a table is cut into for numbering; one offset row per share.
+MOST_SHARES = 65_536
+
+
+def hash_share(digest: Column) -> Column:
+    """The first four hex digits of a digest: even shares in digest order."""
+    return F.substring(digest, 1, 4)
+
+
+def dense_index(df: DataFrame, order: list[Column], name: str, share: Column | None = None) -> DataFrame:
     """Row numbers 1..N in the given total order.
 
-    Rows are range-partitioned on the order and written once, so that the
-    partition number of a row is fixed. The only unpartitioned window runs over
-    one row per partition.
+    Rows fall into shares that follow the order; numbers start at each share's
+    offset. ``share`` names an expression that grows with the order and cuts
+    the rows evenly, with at most ``MOST_SHARES`` values. Without one, rows are
+    range-partitioned by sampled bounds and written once, so that the partition
+    number of a row stays fixed. The only unpartitioned window runs over one
+    row per share.
     """
-    cut = stage(
-        df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges"
-    )
+    if share is None:
+        cut = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    else:
+        cut = df.withColumn("_part", share)
+    cut = stage(cut, "shares")
     sizes = cut.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(
@@ -54,6 +68,20 @@ def rank_words(vocab: DataFrame, n: int = K.DICTIONARY_SIZE) -> DataFrame:
     return ranked.where(F.col("rank") <= n)
 
 
+def most_frequent(vocab: DataFrame, n: int = K.DICTIONARY_SIZE) -> DataFrame:
+    """The n most frequent words, unordered; only ties at the cut are sorted.
+
+    ``vocab`` is staged, so its row count comes from the file footers.
+    """
+    if vocab.count() <= n:
+        return vocab
+    cut = stage(cut_frequency(vocab, n), "cut")
+    above = vocab.where(F.col("freq") > cut.scalar())
+    ties = dense_index(vocab.where(F.col("freq") == cut.scalar()), [F.asc("word")], "_place")
+    room = n - F.coalesce(above.agg(F.count(F.lit(1)).alias("n")).scalar(), F.lit(0))
+    return above.unionByName(ties.where(F.col("_place") <= room).select(*vocab.columns))
+
+
 def top_dictionary(vocab: DataFrame, n: int = K.DICTIONARY_SIZE) -> DataFrame:
     return rank_words(vocab, n)
 

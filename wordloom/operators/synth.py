@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from wordloom import constants as K
 from wordloom.functions import typos
 from wordloom.functions.draws import draw
-from wordloom.operators.ranking import dense_index
+from wordloom.operators.ranking import MOST_SHARES, dense_index, hash_share
 from wordloom.staging import stage
 
 SAMPLE_COLUMNS = (
@@ -31,11 +31,18 @@ def sample_row(df: DataFrame) -> DataFrame:
 
 def typo_pairs(words: DataFrame, seed: int = K.SEED) -> DataFrame:
     """One seeded misspelling per word: (correct_word, incorrect_word, error_type, freq)."""
-    w = F.col("word")
-    kind = typos.drawn_type(w, seed)
+    return misspelt(words.select(F.col("word").alias("correct_word"), "freq"), "correct_word", seed)
+
+
+def misspelt(rows: DataFrame, key: str, seed: int = K.SEED) -> DataFrame:
+    """Add ``error_type`` and ``incorrect_word``, drawn by ``key``."""
+    word = F.col("correct_word")
     return (
-        words.select(w.alias("correct_word"), "freq", kind.alias("error_type"))
-        .withColumn("incorrect_word", typos.misspell(F.col("correct_word"), F.col("error_type"), F.col("correct_word"), seed))
+        typos.with_draws(rows, "correct_word", key, seed)
+        .withColumn("error_type", typos.drawn_type())
+        .withColumn("_edit", typos.edit_for(word, F.col("error_type")))
+        .withColumn("incorrect_word", typos.apply_edit(word, F.col("_edit")))
+        .drop("_edit", *typos.HELPERS)
     )
 
 
@@ -52,15 +59,8 @@ def candidate_draws(candidates: DataFrame, n_candidates: int, attempts: int, see
 
 
 def attempts_with_errors(draws: DataFrame, seed: int = K.SEED) -> DataFrame:
-    key = F.col("attempt")
-    return (
-        draws.withColumn("error_type", typos.drawn_type(key, seed))
-        .select(
-            "attempt", F.col("word").alias("correct_word"), "error_type",
-            typos.misspell(F.col("word"), F.col("error_type"), key, seed).alias("incorrect_word"),
-            F.col("freq").alias("word_frequency"),
-        )
-    )
+    rows = draws.select("attempt", F.col("word").alias("correct_word"), F.col("freq").alias("word_frequency"))
+    return misspelt(rows, "attempt", seed)
 
 
 def pass_gate(attempts: DataFrame, dictionary: DataFrame, gate: str = "levenshtein") -> DataFrame:
@@ -89,17 +89,21 @@ def error_samples(
     candidates: DataFrame, n_candidates: int, dictionary: DataFrame, samples: int,
     seed: int = K.SEED, gate: str = "levenshtein",
 ) -> DataFrame:
-    draws = candidate_draws(candidates, n_candidates, samples * K.ATTEMPTS_PER_SAMPLE, seed)
+    attempts = samples * K.ATTEMPTS_PER_SAMPLE
+    draws = candidate_draws(candidates, n_candidates, attempts, seed)
     passed = pass_gate(attempts_with_errors(draws, seed), dictionary, gate)
+    # Attempt numbers are even by construction: equal runs of them are equal shares.
+    run = F.floor(F.col("attempt") / (attempts // MOST_SHARES + 1))
     return sample_row(
-        dense_index(passed, [F.col("attempt")], "id").where(F.col("id") <= samples)
+        dense_index(passed, [F.col("attempt")], "id", run).where(F.col("id") <= samples)
     )
 
 
 def sample_without_replacement(words: DataFrame, n: int, seed: int = K.SEED) -> DataFrame:
     """min(n, available) distinct words in hash order, with their place ``pick`` from 1."""
     order = F.md5(F.concat_ws(":", F.lit("sample"), F.lit(str(seed)), "word"))
-    drawn = dense_index(words.withColumn("_h", order), [F.col("_h"), F.col("word")], "pick")
+    keyed = words.withColumn("_h", order)
+    drawn = dense_index(keyed, [F.col("_h"), F.col("word")], "pick", hash_share(F.col("_h")))
     return drawn.where(F.col("pick") <= n).drop("_h")
 
 
@@ -123,7 +127,7 @@ def shuffle_renumber(samples: DataFrame, seed: int = K.SEED) -> DataFrame:
     keyed = samples.withColumn("_h", order)
     # Rows equal in all these columns are interchangeable.
     total_order = [F.col(c) for c in ("_h", "id", "correct_word", "incorrect_word")]
-    return dense_index(keyed, total_order, "_id").select(
+    return dense_index(keyed, total_order, "_id", hash_share(F.col("_h"))).select(
         F.col("_id").cast("bigint").alias("id"), *SAMPLE_COLUMNS[1:]
     )
 

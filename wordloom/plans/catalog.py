@@ -412,14 +412,15 @@ def _(spark, sf):
 def _generator(name: str, make):
     @query(name)
     def _(spark, sf):
-        w = F.col("word")
-        return inputs.vocab(spark, sf).select("word", make(w, w).alias("out"))
+        drawn = typos.with_draws(inputs.vocab(spark, sf), "word", "word")
+        edited = drawn.withColumn("_edit", make(F.col("word")))
+        return edited.select("word", typos.apply_edit(F.col("word"), F.col("_edit")).alias("out"))
 
 
 for _kind, _make in typos.GENERATORS.items():
     _generator(f"gen_{_kind}", _make)
-simple("gen_type_draw", lambda spark, sf: inputs.vocab(spark, sf).select(
-    "word", typos.drawn_type(F.col("word")).alias("error_type")))
+simple("gen_type_draw", lambda spark, sf: typos.with_draws(inputs.vocab(spark, sf), "word", "word").select(
+    "word", typos.drawn_type().alias("error_type")))
 
 
 @query("gen_errors")

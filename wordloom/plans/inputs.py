@@ -29,9 +29,8 @@ def frequent(words: DataFrame) -> DataFrame:
 
 
 def dictionary(spark: SparkSession, sf: str) -> DataFrame:
-    """Staged (word, freq, rank): the most frequent words with freq >= 5."""
-    words = stage(frequent(vocab(spark, sf)), "frequent")
-    return stage(ranking.top_dictionary(words), "dictionary")
+    """Staged (word, freq): the most frequent words with freq >= 5."""
+    return ranking.most_frequent(stage(frequent(vocab(spark, sf)), "frequent"))
 
 
 def typo_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -43,13 +42,13 @@ def typo_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def candidates(spark: SparkSession, sf: str) -> tuple[DataFrame, int, DataFrame]:
-    """(candidates, their number, dictionary), all staged.
+    """(candidates, their number, dictionary).
 
     The number comes from the footer of the staged file.
     """
     words = stage(frequent(vocab(spark, sf)), "frequent")
     chosen = stage(ranking.top_candidates(words), "candidates")
-    return chosen, chosen.count(), stage(ranking.top_dictionary(words), "dictionary")
+    return chosen, chosen.count(), ranking.most_frequent(words)
 
 
 def sample_sizes(n_candidates: int) -> tuple[int, int]:

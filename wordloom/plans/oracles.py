@@ -647,8 +647,8 @@ add("ens_weights", WEIGHTS, "SELECT model, round(weight, 6) AS weight FROM weigh
 add("ens_soft_vote", VOTE, "SELECT id, prediction, round(confidence, 6) AS confidence FROM voted")
 add("ens_improvement", f"""{VOTE},
 ens AS (SELECT 'ensemble' AS model, p.id, p.split, p.label, v.prediction FROM preds p JOIN voted v USING (id) WHERE p.model = 'length_rule' AND p.split = 'val'),
-both AS (SELECT * FROM val UNION ALL SELECT * FROM ens),
-all_scores AS ({metrics('both')}),
+joined AS (SELECT * FROM val UNION ALL SELECT * FROM ens),
+all_scores AS ({metrics('joined')}),
 pairof AS (SELECT max(f1) FILTER (WHERE model = 'ensemble') AS e, max(f1) FILTER (WHERE model <> 'ensemble') AS b FROM all_scores)""",
     "SELECT round(e, 6) AS ensemble_f1, round(b, 6) AS best_single_f1, round(e - b, 6) AS improvement FROM pairof")
 
