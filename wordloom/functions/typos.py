@@ -17,7 +17,7 @@ from wordloom.functions.strings import char_at
 # Draw numbers; each decision has its own, or the choices would correlate.
 TYPE, POSITION, BRANCH, CHOICE, SECOND_BRANCH, LETTER, CANDIDATE = range(7)
 
-_MARK = "\u0000"
+_MARK = "*"
 
 
 HELPERS = [f"_u{i}" for i in range(LETTER + 1)] + ["_old", "_near", "_mixed"]

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from wordloom import constants as K
 from wordloom.functions import typos
 from wordloom.functions.draws import draw
+from wordloom.functions.plan import pinned
 from wordloom.operators.ranking import MOST_SHARES, dense_index, hash_share
 from wordloom.staging import stage
 
@@ -37,13 +38,13 @@ def typo_pairs(words: DataFrame, seed: int = K.SEED) -> DataFrame:
 def misspelt(rows: DataFrame, key: str, seed: int = K.SEED) -> DataFrame:
     """Add ``error_type`` and ``incorrect_word``, drawn by ``key``."""
     word = F.col("correct_word")
-    return (
+    edited = (
         typos.with_draws(rows, "correct_word", key, seed)
         .withColumn("error_type", typos.drawn_type())
         .withColumn("_edit", typos.edit_for(word, F.col("error_type")))
-        .withColumn("incorrect_word", typos.apply_edit(word, F.col("_edit")))
-        .drop("_edit", *typos.HELPERS)
     )
+    made = pinned(edited, "incorrect_word", typos.apply_edit(word, F.col("_edit")))
+    return made.drop("_edit", *typos.HELPERS)
 
 
 def candidate_draws(candidates: DataFrame, n_candidates: int, attempts: int, seed: int = K.SEED) -> DataFrame:

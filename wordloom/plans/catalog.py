@@ -14,6 +14,7 @@ from wordloom.functions import features as ft
 from wordloom.functions import pair_features as fp
 from wordloom.functions import text as tx
 from wordloom.functions import typos
+from wordloom.functions.plan import pinned
 from wordloom.operators import (
     corpus, correct, ensemble, evaluate as ev, extras, fuzzy, lookup, models, prepare, profiles,
     ranking, synth,
@@ -199,14 +200,14 @@ def _(spark, sf):
 
 @query("flt_min_clean")
 def _(spark, sf):
-    clean = F.length(tx.clean_text(F.col("text"))).alias("chars")
-    return tables.wiki_pages(spark, sf).select("doc_id", clean).where(F.col("chars") > K.MIN_CLEAN_CHARS)
+    pages = pinned(tables.wiki_pages(spark, sf), "chars", F.length(tx.clean_text(F.col("text"))))
+    return pages.select("doc_id", "chars").where(F.col("chars") > K.MIN_CLEAN_CHARS)
 
 
 @query("flt_min_words")
 def _(spark, sf):
-    words = F.size(tx.english_words(tx.clean_text(F.col("text")))).alias("words")
-    return tables.wiki_pages(spark, sf).select("doc_id", words).where(F.col("words") > K.MIN_ARTICLE_WORDS)
+    words = F.size(tx.english_words(tx.clean_text(F.col("text"))))
+    return pinned(tables.wiki_pages(spark, sf), "words", words).select("doc_id", "words").where(F.col("words") > K.MIN_ARTICLE_WORDS)
 
 
 @query("flt_article_cap")
