@@ -2,23 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from wordloom import constants as K
 from wordloom.functions import text as tx
-
-
-def accepted_words(
-    text: Column, min_chars: int = K.MIN_CLEAN_CHARS, min_words: int = K.MIN_ARTICLE_WORDS
-) -> Column:
-    """Words of one article, or null if the cleaned text or the word list is too short.
-
-    One expression instead of two filters: a filter on a computed column is
-    pushed below the projection that computes it and would clean the text twice.
-    """
-    clean = tx.clean_text(text)
-    words = F.when(F.length(clean) > min_chars, tx.english_words(clean))
-    return F.when(F.size(words) > min_words, words)
+from wordloom.functions.plan import pinned
+from wordloom.operators.ranking import dense_index
+from wordloom.staging import stage
 
 
 def candidate_articles(pages: DataFrame) -> DataFrame:
@@ -30,23 +20,24 @@ def candidate_articles(pages: DataFrame) -> DataFrame:
 
 
 def accepted_articles(pages: DataFrame, max_articles: int | None = None) -> DataFrame:
-    """(doc_id, words) of the articles that count, at most ``max_articles`` in source order."""
-    kept = candidate_articles(pages).select(
-        "doc_id", accepted_words(F.col("text")).alias("words")
+    """(doc_id, words) of the articles that count, at most ``max_articles`` in source order.
+
+    Cleaned text and words are pinned, so each is computed once although a
+    length gate follows it.
+    """
+    raw = candidate_articles(pages).select("doc_id", "text")
+    cleaned = pinned(raw, "_clean", tx.clean_text(F.col("text"))).where(
+        F.length("_clean") > K.MIN_CLEAN_CHARS
     )
-    if max_articles is None:
-        return kept
-    return kept.where(F.col("words").isNotNull()).orderBy("doc_id").limit(max_articles)
+    kept = pinned(cleaned, "words", tx.english_words(F.col("_clean"))).where(
+        F.size("words") > K.MIN_ARTICLE_WORDS
+    ).select("doc_id", "words")
+    return kept if max_articles is None else kept.orderBy("doc_id").limit(max_articles)
 
 
 def article_words(pages: DataFrame, max_articles: int | None = None) -> DataFrame:
-    """One row per word occurrence. The outer explode keeps the optimizer from
-    inferring a size filter that would repeat the cleaning."""
-    return (
-        accepted_articles(pages, max_articles)
-        .select("doc_id", F.explode_outer("words").alias("word"))
-        .where(F.col("word").isNotNull())
-    )
+    """One row per word occurrence."""
+    return accepted_articles(pages, max_articles).select("doc_id", F.explode("words").alias("word"))
 
 
 def word_count(pages: DataFrame, max_articles: int | None = None) -> DataFrame:
@@ -57,7 +48,7 @@ def word_count(pages: DataFrame, max_articles: int | None = None) -> DataFrame:
 
 
 def count_accepted(pages: DataFrame) -> DataFrame:
-    return accepted_articles(pages).agg(F.count("words").alias("articles"))
+    return accepted_articles(pages).agg(F.count(F.lit(1)).alias("articles"))
 
 
 def at_least(vocab: DataFrame, min_freq: int) -> DataFrame:
@@ -107,15 +98,8 @@ def snapshots(
     Articles are numbered without a global window; each word's per-block counts
     become running sums, and a word stays in later snapshots it is absent from.
     """
-    from pyspark.sql import Window as W
-
-    from wordloom.operators.ranking import dense_index
-    from wordloom.staging import stage
-
     # Number ids only; the words stay out of the sort.
-    kept = stage(
-        accepted_articles(pages).where(F.col("words").isNotNull()), "accepted"
-    )
+    kept = stage(accepted_articles(pages), "accepted")
     numbered = dense_index(kept.select("doc_id"), [F.col("doc_id")], "n")
     blocks = numbered.select("doc_id", F.ceil(F.col("n") / every).cast("bigint").alias("block"))
     total = kept.agg(F.floor(F.count(F.lit(1)) / every).alias("n"))

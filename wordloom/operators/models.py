@@ -108,7 +108,8 @@ class PerClassBoost(Estimator):
         self.classes, self.validation, self.settings = classes, validation, settings
 
     def copy(self, extra=None):
-        return PerClassBoost(self.classes, self.validation, **(self.settings | (extra or {})))
+        # Settings are fixed at construction; a search makes one estimator per setting.
+        return PerClassBoost(self.classes, self.validation, **self.settings)
 
     def _fit(self, df: DataFrame) -> "PerClassBoostModel":
         rows = df.withColumn("_y", F.lit(0.0)).persist()
