@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wordloom import constants as K
+from wordloom.functions.plan import widen
 from wordloom.functions.strings import char_at, without_two
 
 LONGEST_BY_DELETION = 16
@@ -71,13 +72,13 @@ def _segment_probes(df: DataFrame, word: str, longest: int) -> DataFrame:
 
 def dictionary_keys(dictionary: DataFrame, longest: int = LONGEST_BY_DELETION) -> DataFrame:
     """(word, freq, _key): the index side. Write it once when it serves many query batches."""
-    d = dictionary.select("word", "freq")
+    d = widen(dictionary.select("word", "freq"), "word")
     short = _deletion_keys(d.where(F.length("word") <= longest), "word")
     return short.unionByName(_segment_keys(d.where(F.length("word") > longest), "word"))
 
 
 def query_keys(queries: DataFrame, longest: int = LONGEST_BY_DELETION) -> DataFrame:
-    q = queries.select("query")
+    q = widen(queries.select("query"), "query")
     n = F.length("query")
     short = _deletion_keys(q.where(n <= longest + _EDITS), "query")
     return short.unionByName(_segment_probes(q.where(n > longest - _EDITS), "query", longest))

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from wordloom.operators.correct import check_sentences
 from wordloom.operators.fuzzy import dictionary_keys
 from wordloom.sources.tables import SCHEMAS
-from wordloom.staging import fresh_path, stage
+from wordloom.staging import stage
+from wordloom.streaming.words import run_batches
+
+CHECKED = (
+    "status STRING, original_sentence STRING, corrected_sentence STRING, has_errors BOOLEAN, "
+    "num_errors INT, errors ARRAY<STRUCT<original: STRING, correction: STRING, distance: INT, "
+    "position: INT, token_index: INT>>"
+)
 
 
 def sentence_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -21,17 +28,9 @@ def run_corrections(sentences: DataFrame, ids: list[str], dictionary: DataFrame)
 
     The dictionary's keys are written once and joined with every micro-batch.
     """
-    spark = sentences.sparkSession
-    path = fresh_path(spark, "stream-sentences")
     keys = stage(dictionary_keys(dictionary), "dictionary-keys")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        checked = check_sentences(batch, ids, dictionary, keys)
-        checked.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    query = (
-        sentences.writeStream.option("checkpointLocation", fresh_path(spark, "stream-state"))
-        .trigger(availableNow=True).foreachBatch(write).start()
-    )
-    query.awaitTermination()
-    return spark.read.parquet(path).drop("batch_id")
+    id_schema = ", ".join(f"{name} {kind}" for name, kind in sentences.dtypes if name in ids)
+    return run_batches(
+        sentences, "append", "stream-sentences",
+        lambda batch: check_sentences(batch, ids, dictionary, keys), f"{id_schema}, {CHECKED}",
+    ).drop("batch_id")

@@ -20,15 +20,28 @@ def article_stream(spark: SparkSession, folder: str, files_per_batch: int | None
     )
 
 
-def _run(counts: DataFrame, mode: str, write) -> None:
+def run_batches(stream: DataFrame, mode: str, name: str, make, schema: str) -> DataFrame:
+    """Drain a stream, writing ``make(batch)`` per micro-batch, and read all of it back.
+
+    A batch that is retried overwrites its own folder.
+    """
+    spark = stream.sparkSession
+    path, written = fresh_path(spark, name), []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        make(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        written.append(batch_id)
+
     query = (
-        counts.writeStream.outputMode(mode)
-        .option("checkpointLocation", fresh_path(counts.sparkSession, "stream-state"))
+        stream.writeStream.outputMode(mode)
+        .option("checkpointLocation", fresh_path(spark, "stream-state"))
         .trigger(availableNow=True)
         .foreachBatch(write)
         .start()
     )
     query.awaitTermination()
+    full = f"{schema}, batch_id INT"
+    return spark.read.schema(full).parquet(path) if written else spark.createDataFrame([], full)
 
 
 def count_stream(articles: DataFrame) -> DataFrame:
@@ -39,30 +52,18 @@ def count_stream(articles: DataFrame) -> DataFrame:
 def run_word_count(articles: DataFrame) -> DataFrame:
     """Drain the stream and return the final counts.
 
-    Each batch writes the counters it changed. A batch that is retried
-    overwrites its own folder. Counters only grow, so the largest value per
-    word is the current one.
+    Each batch writes the counters it changed. Counters only grow, so the
+    largest value per word is the current one.
     """
-    spark = articles.sparkSession
-    path = fresh_path(spark, "stream-counts")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    _run(count_stream(articles), "update", write)
-    written = spark.read.schema("word STRING, freq BIGINT, batch_id INT").parquet(path)
-    return written.groupBy("word").agg(F.max("freq").alias("freq"))
+    changed = run_batches(
+        count_stream(articles), "update", "stream-counts", lambda batch: batch, "word STRING, freq BIGINT"
+    )
+    return changed.groupBy("word").agg(F.max("freq").alias("freq"))
 
 
 def run_snapshots(articles: DataFrame, min_freq: int = K.SNAPSHOT_MIN_FREQ) -> DataFrame:
     """(batch_id, word, freq): a versioned snapshot of frequent words after every batch."""
-    spark = articles.sparkSession
-    path = fresh_path(spark, "stream-snapshots")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.where(F.col("freq") >= min_freq).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    _run(count_stream(articles), "complete", write)
-    return spark.read.schema("word STRING, freq BIGINT, batch_id INT").parquet(path).select(
-        "batch_id", "word", "freq"
-    )
+    return run_batches(
+        count_stream(articles), "complete", "stream-snapshots",
+        lambda batch: batch.where(F.col("freq") >= min_freq), "word STRING, freq BIGINT",
+    ).select("batch_id", "word", "freq")
