@@ -86,3 +86,15 @@ def test_sentence_check(spark):
     assert out[2].corrected_sentence == "the cat" and out[2].errors == [] and not out[2].has_errors
     assert out[3].status == out[4].status == "empty" and out[3].corrected_sentence is None
     assert out[5].corrected_sentence == "Qqqqqqq"
+
+
+def test_shuffled_and_broadcast_plans_agree(spark, monkeypatch):
+    rng = random.Random(4)
+    items = {"".join(rng.choice("abc") for _ in range(rng.randint(2, 20))) for _ in range(150)}
+    queries = {mutate(rng, w) for w in items} - {""}
+    want = found(spark, queries, items)
+    monkeypatch.setattr(fuzzy, "BROADCAST_KEYS", 0)
+    q = spark.createDataFrame([(x,) for x in queries], "query string")
+    plan = fuzzy.fuzzy_join(q, words(spark, items))._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
+    assert found(spark, queries, items) == want == brute(queries, items)

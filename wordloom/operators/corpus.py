@@ -32,7 +32,12 @@ def accepted_articles(pages: DataFrame, max_articles: int | None = None) -> Data
     kept = pinned(cleaned, "words", tx.english_words(F.col("_clean"))).where(
         F.size("words") > K.MIN_ARTICLE_WORDS
     ).select("doc_id", "words")
-    return kept if max_articles is None else kept.orderBy("doc_id").limit(max_articles)
+    if max_articles is None:
+        return kept
+    # Only ids are sorted for the cap; the words of an article stay where they are.
+    kept = stage(kept, "accepted")
+    last = kept.select("doc_id").orderBy("doc_id").limit(max_articles).agg(F.max("doc_id").alias("d"))
+    return kept.where(F.col("doc_id") <= last.scalar())
 
 
 def article_words(pages: DataFrame, max_articles: int | None = None) -> DataFrame:

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from wordloom.staging import stage
+
 
 def confusion(preds: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """(by..., label, prediction, n). All metrics below derive from this small table."""
@@ -35,7 +37,10 @@ def accuracy(preds: DataFrame) -> DataFrame:
 
 def per_class(preds: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """(by..., class, precision, recall, f1, support); 0 where undefined."""
-    cells = confusion(preds, by)
+    return class_metrics(confusion(preds, by), by)
+
+
+def class_metrics(cells: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     sides = cells.select(
         *by,
         F.explode(
@@ -67,7 +72,10 @@ def per_class(preds: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 def averages(preds: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """(by..., average, precision, recall, f1) for macro and support-weighted averages."""
-    classes = per_class(preds, by)
+    return average_metrics(per_class(preds, by), by)
+
+
+def average_metrics(classes: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     weight = F.sum("support")
     wide = classes.groupBy(*by).agg(
         *[F.avg(m).alias(f"macro_{m}") for m in ("precision", "recall", "f1")],
@@ -82,11 +90,14 @@ def averages(preds: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 def metrics(preds: DataFrame, by: tuple[str, ...] = ("model",)) -> DataFrame:
     """(by..., accuracy, precision, recall, f1): the weighted headline numbers."""
-    cells = confusion(preds, by)
+    return headline(confusion(preds, by), by)
+
+
+def headline(cells: DataFrame, by: tuple[str, ...] = ("model",)) -> DataFrame:
     hits = cells.groupBy(*by).agg(
         (F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)) / F.sum("n")).alias("accuracy")
     )
-    weighted = averages(preds, by).where(F.col("average") == "weighted").drop("average")
+    weighted = average_metrics(class_metrics(cells, by), by).where(F.col("average") == "weighted").drop("average")
     return hits.join(weighted, list(by))
 
 
@@ -125,19 +136,23 @@ def best_model(comparison: DataFrame, by: str = "score") -> DataFrame:
 
 
 def final_report(preds: DataFrame) -> DataFrame:
-    """(section, key, value): best test model, its headline numbers and per-class block."""
-    test = preds.where(F.col("split") == "test")
-    table = metrics(test)
+    """(section, key, value): best test model, its headline numbers and per-class block.
+
+    The counts per model, label and prediction are written once; the rest of
+    the report reads that small table.
+    """
+    cells = stage(confusion(preds.where(F.col("split") == "test"), ("model",)), "cells")
+    table = stage(headline(cells), "headline")
     best = best_model(table, "f1").select("model")
     chosen = table.where(F.col("model") == best.scalar())
-    headline = chosen.unpivot(["model"], ["accuracy", "precision", "recall", "f1"], "key", "value").select(
+    numbers = chosen.unpivot(["model"], ["accuracy", "precision", "recall", "f1"], "key", "value").select(
         F.lit("headline").alias("section"), "key", "value"
     )
     name = best.select(F.lit("best").alias("section"), F.col("model").alias("key"), F.lit(1.0).alias("value"))
-    classes = per_class(test, ("model",)).where(F.col("model") == best.scalar())
+    classes = class_metrics(cells, ("model",)).where(F.col("model") == best.scalar())
     block = (
         classes.withColumn("support", F.col("support").cast("double"))
         .unpivot(["class"], ["precision", "recall", "f1", "support"], "metric", "value")
         .select(F.lit("class").alias("section"), F.concat_ws(".", "class", "metric").alias("key"), "value")
     )
-    return reduce(DataFrame.unionByName, [name, headline, block])
+    return reduce(DataFrame.unionByName, [name, numbers, block])

@@ -16,8 +16,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wordloom import constants as K
 from wordloom.functions.plan import widen
 from wordloom.functions.strings import char_at, without_two
+from wordloom.staging import stage
 
 LONGEST_BY_DELETION = 16
+# Largest key table to broadcast, in rows of one word, one count and one hash.
+BROADCAST_KEYS = 1_000_000
 _EDITS = 2
 
 
@@ -71,7 +74,7 @@ def _segment_probes(df: DataFrame, word: str, longest: int) -> DataFrame:
 
 
 def dictionary_keys(dictionary: DataFrame, longest: int = LONGEST_BY_DELETION) -> DataFrame:
-    """(word, freq, _key): the index side. Write it once when it serves many query batches."""
+    """(word, freq, _key): the index side. Stage it, once for all query batches."""
     d = widen(dictionary.select("word", "freq"), "word")
     short = _deletion_keys(d.where(F.length("word") <= longest), "word")
     return short.unionByName(_segment_keys(d.where(F.length("word") > longest), "word"))
@@ -84,6 +87,19 @@ def query_keys(queries: DataFrame, longest: int = LONGEST_BY_DELETION) -> DataFr
     return short.unionByName(_segment_probes(q.where(n > longest - _EDITS), "query", longest))
 
 
+def _sized(index: DataFrame) -> DataFrame:
+    """The key table with the join strategy that its real size allows.
+
+    The planner does not know that a table grows when keys are made from it,
+    and would broadcast it by the size it had before. A staged table is counted
+    from its footers. Beyond the bound both sides are shuffled, and the index
+    side, a bounded number of keys per dictionary word, is the hashed one.
+    """
+    if index.count() <= BROADCAST_KEYS:
+        return F.broadcast(index)
+    return index.hint("shuffle_hash")
+
+
 def fuzzy_join(
     queries: DataFrame,
     dictionary: DataFrame,
@@ -93,16 +109,18 @@ def fuzzy_join(
 ) -> DataFrame:
     """(query, word, freq, distance) for all pairs within ``max_distance`` edits.
 
-    ``queries(query)`` holds distinct strings. Output is hash-partitioned by
-    query, so grouping or ranking per query needs no further shuffle.
+    ``queries(query)`` holds distinct strings; ``keys`` is a staged
+    ``dictionary_keys`` table. Output is hash-partitioned by query, so grouping
+    or ranking per query needs no further shuffle.
     """
     if not 0 <= max_distance <= _EDITS:
         raise ValueError(f"max_distance must lie in 0..{_EDITS}")
-    index = dictionary_keys(dictionary, longest) if keys is None else keys
+    if keys is None:
+        keys = stage(dictionary_keys(dictionary, longest), "dictionary-keys")
     distance = F.levenshtein("query", "word", max_distance)
     close = (
         query_keys(queries, longest)
-        .join(index, "_key")
+        .join(_sized(keys), "_key")
         .where(F.abs(F.length("query") - F.length("word")) <= max_distance)
         .where(distance >= 0)
         .select("query", "word", "freq")
