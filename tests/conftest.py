@@ -1,3 +1,4 @@
+import functools
 import os
 import sys
 
@@ -22,6 +23,15 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(scope="session", autouse=True)
+def shared_inputs():
+    """Build each staged hand-off once for all tests."""
+    from wordloom.plans import inputs
+
+    for name in ("dataset", "candidates", "dictionary", "encoded", "prepared", "rule_predictions"):
+        setattr(inputs, name, functools.cache(getattr(inputs, name)))
+
+
 @pytest.fixture(scope="session")
 def sf():
     return SF
