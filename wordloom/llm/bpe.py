@@ -32,8 +32,8 @@ from wordloom.llm.common import BoundedCache, add_columns, documents
 #: Characters whose classes and case have not changed between Unicode versions, less the separators
 #: that are white space to Python alone. Texts of other characters go through the library's own rules.
 _PLAIN = re.compile("[^\x00-\x1b\x20-ɏ]")
-#: Chunks, and pre-tokens, that one generation of a worker's cache holds.
-CACHE_CHUNKS = 250_000
+#: Chunks, and pre-tokens, that one generation of a worker's caches holds.
+CACHE_CHUNKS, CACHE_PRE_TOKENS = 120_000, 80_000
 
 
 def _byte_characters() -> list[str]:
@@ -58,9 +58,6 @@ class ByteLevelBPE:
         vocab: dict[str, int] = model["vocab"]
         suffix = model["end_of_word_suffix"] or ""
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.strings = [""] * (1 + max([*vocab.values(), *special.values()]))
-        for token, i in [*vocab.items(), *special.items()]:
-            self.strings[i] = token
         self.special = special
         self.special_split = re.compile("(" + "|".join(map(re.escape, special)) + ")")
         self.normalized = spec["normalizer"] is not None
@@ -136,13 +133,25 @@ class ChunkCache(BoundedCache):
 
     def __init__(self, bpe: ByteLevelBPE):
         self.bpe = bpe
-        self.of_pre_token = BoundedCache(lambda p: np.array(bpe.merge(p), dtype="<u4").tobytes(), CACHE_CHUNKS)
+        self.of_pre_token = BoundedCache(lambda p: np.array(bpe.merge(p), dtype="<u4").tobytes(), CACHE_PRE_TOKENS)
         super().__init__(self.encode, CACHE_CHUNKS)
 
     def encode(self, chunk: str) -> bytes:
         return b"".join([self.of_pre_token[p] for p in self.bpe.pre_tokens(chunk)])
 
 
+@functools.cache
+def vocabulary_strings(path: str) -> list[str]:
+    """The string of each id."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    ids = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+    strings = [""] * (1 + max(ids.values()))
+    for token, i in ids.items():
+        strings[i] = token
+    return strings
+
+
 @functools.cache
 def load(path: str) -> ByteLevelBPE:
     return ByteLevelBPE(path)
@@ -188,7 +197,7 @@ def decode(df: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded
     """
 
     def start():
-        strings = load(path).strings
+        strings = vocabulary_strings(path)
 
         def work(rows):
             return [[None if x is None else " ".join([strings[i] for i in np.frombuffer(x, "<u4").tolist()]) for x in rows]]

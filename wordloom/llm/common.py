@@ -12,6 +12,8 @@ from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from wordloom.sources import tables
 
+#: Rows that a worker turns into Python objects at a time.
+SLICE_ROWS = 500
 #: A word: a longest run of characters other than the six ASCII white space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -63,12 +65,14 @@ def add_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
-        for batch in batches:
-            results = work(*[batch.column(width + i).to_pylist() for i in range(len(inputs))])
-            arrays = [
-                r if isinstance(r, pa.Array) else pa.array(r, type=t) for r, t in zip(results, types, strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(width)), *arrays], names=names)
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(at, SLICE_ROWS)
+                results = work(*[batch.column(width + i).to_pylist() for i in range(len(inputs))])
+                arrays = [
+                    r if isinstance(r, pa.Array) else pa.array(r, type=t) for r, t in zip(results, types, strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(width)), *arrays], names=names)
 
     return sources.mapInArrow(run, schema)
 

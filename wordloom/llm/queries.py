@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from wordloom.llm.bpe import op2_bpe
+from wordloom.llm.simhash import op4_simhash
 from wordloom.llm.toxicity import op10_toxicity
 from wordloom.llm.token_counts import op6_token_counts
 
 QUERIES = {
     "op2_bpe": op2_bpe,
+    "op4_simhash": op4_simhash,
     "op6_token_counts": op6_token_counts,
     "op10_toxicity": op10_toxicity,
 }

@@ -50,7 +50,7 @@ PREFIXES = (8, 7, 6, 5, 4, 3)
 #: Score of a token without significant log-odds.
 DRIFT = -0.1
 _LETTERS = regex.compile(r"\p{L}+")
-_CACHE_WORDS = 250_000
+_CACHE_WORDS = 150_000
 
 
 @dataclass(frozen=True)
