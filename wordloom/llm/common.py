@@ -17,7 +17,6 @@ SLICE_ROWS = 500
 #: A word: a longest run of characters other than the six ASCII white space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_FOLD = str.maketrans(UPPER, LOWER)
 #: White space to ``str.split`` but not to ``WORD``.
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -32,7 +31,7 @@ def fold(text: Column) -> Column:
 
 
 def fold_text(text: str) -> str:
-    return text.lower() if text.isascii() else text.translate(_FOLD)
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
 def words_of(text: str) -> list[str]:

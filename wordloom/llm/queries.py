@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from wordloom.llm.bpe import op2_bpe
+from wordloom.llm.lines import OP9_SQL, op9_line_dedup
 from wordloom.llm.simhash import op4_simhash
 from wordloom.llm.toxicity import op10_toxicity
 from wordloom.llm.token_counts import op6_token_counts
@@ -11,7 +12,8 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op4_simhash": op4_simhash,
     "op6_token_counts": op6_token_counts,
+    "op9_line_dedup": op9_line_dedup,
     "op10_toxicity": op10_toxicity,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op9_line_dedup": OP9_SQL}
