@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from wordloom.llm.bpe import op2_bpe
 from wordloom.llm.lines import OP9_SQL, op9_line_dedup
+from wordloom.llm.neighbours import OP8_SQL, op8_neighbours
 from wordloom.llm.simhash import op4_simhash
 from wordloom.llm.toxicity import op10_toxicity
 from wordloom.llm.token_counts import op6_token_counts
@@ -12,8 +13,9 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op4_simhash": op4_simhash,
     "op6_token_counts": op6_token_counts,
+    "op8_neighbours": op8_neighbours,
     "op9_line_dedup": op9_line_dedup,
     "op10_toxicity": op10_toxicity,
 }
 
-SQL: dict[str, str] = {"op9_line_dedup": OP9_SQL}
+SQL: dict[str, str] = {"op8_neighbours": OP8_SQL, "op9_line_dedup": OP9_SQL}
