@@ -6,6 +6,7 @@ from wordloom.llm.bpe import op2_bpe
 from wordloom.llm.language_model import op3_lattice_score
 from wordloom.llm.lines import OP9_SQL, op9_line_dedup
 from wordloom.llm.neighbours import OP8_SQL, op8_neighbours
+from wordloom.llm.quality import op5_fertility
 from wordloom.llm.simhash import op4_simhash
 from wordloom.llm.toxicity import op10_toxicity
 from wordloom.llm.token_counts import op6_token_counts
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_lattice_score": op3_lattice_score,
     "op4_simhash": op4_simhash,
+    "op5_fertility": op5_fertility,
     "op6_token_counts": op6_token_counts,
     "op8_neighbours": op8_neighbours,
     "op9_line_dedup": op9_line_dedup,
