@@ -5,6 +5,7 @@ from __future__ import annotations
 from wordloom.llm.bpe import op2_bpe
 from wordloom.llm.language_model import op3_lattice_score
 from wordloom.llm.lines import OP9_SQL, op9_line_dedup
+from wordloom.llm.mixing import op1_mixing
 from wordloom.llm.neighbours import OP8_SQL, op8_neighbours
 from wordloom.llm.quality import op5_fertility
 from wordloom.llm.simhash import op4_simhash
@@ -12,6 +13,7 @@ from wordloom.llm.toxicity import op10_toxicity
 from wordloom.llm.token_counts import op6_token_counts
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
     "op3_lattice_score": op3_lattice_score,
     "op4_simhash": op4_simhash,
