@@ -9,6 +9,7 @@ from wordloom.llm.mixing import op1_mixing
 from wordloom.llm.neighbours import OP8_SQL, op8_neighbours
 from wordloom.llm.quality import op5_fertility
 from wordloom.llm.simhash import op4_simhash
+from wordloom.llm.surrogates import op7_surrogates
 from wordloom.llm.toxicity import op10_toxicity
 from wordloom.llm.token_counts import op6_token_counts
 
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_fertility": op5_fertility,
     "op6_token_counts": op6_token_counts,
+    "op7_surrogates": op7_surrogates,
     "op8_neighbours": op8_neighbours,
     "op9_line_dedup": op9_line_dedup,
     "op10_toxicity": op10_toxicity,
