@@ -176,17 +176,36 @@ def links(fingerprints: DataFrame, budget: int = BUDGET, column: str = "fp") ->
     return dealt.repartition(parts, "block", "value").select("block", "bits").mapInArrow(walk, "a BIGINT, b BIGINT")
 
 
-def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, budget: int = BUDGET) -> DataFrame:
-    """(``id``, fp, component_id): one row per row of ``df``; component_id is the smallest id of the connected texts."""
-    marked = stage(fingerprints(df.select(id, text), text, shingle).select(F.col(id).alias("_id"), "fp"), "fingerprints")
+def _components(marked: DataFrame, budget: int) -> DataFrame:
+    """(fp, component_id) of the fingerprints in ``marked`` (_id, fp); component_id is the smallest id connected."""
     keys = stage(marked.groupBy("fp").agg(F.min("_id").alias("first")), "fingerprint-keys")
     labels = components(links(keys, budget)).withColumnRenamed("node", "fp")
     grouped = keys.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     smallest = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
-    of_key = stage(grouped.join(smallest, "label").select("fp", "component_id"), "fingerprint-components")
+    return stage(grouped.join(smallest, "label").select("fp", "label", "component_id"), "fingerprint-components")
+
+
+def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, budget: int = BUDGET) -> DataFrame:
+    """(``id``, fp, component_id): one row per row of ``df``; component_id is the smallest id of the connected texts."""
+    marked = stage(fingerprints(df.select(id, text), text, shingle).select(F.col(id).alias("_id"), "fp"), "fingerprints")
+    of_key = _components(marked, budget).select("fp", "component_id")
     return marked.join(of_key, "fp").select(F.col("_id").alias(id), "fp", "component_id")
 
 
+def keep_one(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, budget: int = BUDGET) -> DataFrame:
+    """The rows of ``df`` less near-duplicates: of each component the first row of the smallest id stays."""
+    columns = df.columns
+    marked = fingerprints(df.withColumn("_id", F.col(id)), text, shingle).withColumn("_row", F.monotonically_increasing_id())
+    marked = stage(marked, "fingerprinted")  # fixes the row numbers
+    slim = marked.select("_id", "fp", "_row")
+    labels = _components(slim, budget).select("fp", "label")
+    first = F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row"))).alias("first")
+    # Exact copies meet their label as one row, so that no label gathers them.
+    stays = slim.groupBy("fp").agg(first).join(labels, "fp").groupBy("label").agg(F.min("first").alias("first"))
+    stays = stage(stays.select(F.col("first._row").alias("_row")), "kept-rows")
+    return marked.join(stays, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in columns])
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = near_duplicates(documents(spark, folder))
