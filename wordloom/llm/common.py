@@ -45,6 +45,11 @@ def without(df: DataFrame, names: Iterable[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in gone]
 
 
+def nested(df: DataFrame, gone: Iterable[str] = ()) -> Column:
+    """The columns of ``df``, less ``gone``, as one struct, so that no working column clashes with them."""
+    return F.struct(*([F.col(f"`{c}`") for c in without(df, gone)] or [F.lit(0).alias("none")]))
+
+
 def add_columns(
     df: DataFrame, inputs: Sequence[str], fields: str, start: Callable[[], Callable[..., Sequence[Sequence]]]
 ) -> DataFrame:

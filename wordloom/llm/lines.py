@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordloom.llm.common import add_columns, documents
+from wordloom.llm.common import add_columns, documents, nested, without
 from wordloom.staging import stage
 
 #: Least code points of a counted key, least documents that make its lines go.
@@ -215,7 +215,8 @@ def surplus_lines(hashed: DataFrame, counts: DataFrame, min_docs: int = MIN_DOCS
             own = pa.compute.fill_null(pa.compute.equal(ids, pa.array(last, pa.int64())), False).to_numpy(zero_copy_only=False)
             goes = known & (n >= min(min_docs, 255)) & ~own
             send = goes | ~known
-            to = np.where(goes, keys, one.view(np.int64)) % shards
+            anywhere = _mix(pa.compute.fill_null(ids, 0).to_numpy().view(np.uint64), 0).view(np.int64)
+            to = np.where(goes, anywhere, one.view(np.int64)) % shards
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.filter(pa.array(send)), pa.array(keys[send]), pa.array(place[send], pa.int32()),
@@ -250,10 +251,11 @@ def dedup_lines(
     """
     hashed = stage(hash_lines(df, id, text, min_chars), "line-hashes")
     counts = stage(line_counts(hashed), "line-counts")
-    gone = surplus_lines(hashed, counts, min_docs).groupBy("id", "row_key").agg(F.collect_list("place").alias("_gone"))
-    gone = gone.select(F.col("id").alias("_id"), F.col("row_key").alias("_row"), "_gone")
-    key = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    joined = df.join(gone, F.col(id).eqNullSafe(F.col("_id")) & (key == F.col("_row")), "left").drop("_id", "_row")
+    gone = surplus_lines(hashed, counts, min_docs).groupBy("id", "row_key").agg(F.collect_list("place").alias("gone"))
+    gone = gone.select(F.col("id").alias("gone_id"), "row_key", "gone")
+    slim = df.select(nested(df, [text, "n_lines", "n_dropped"]).alias("row"), F.col(id).alias("id"), F.col(text).alias("text"))
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    joined = slim.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (key == F.col("row_key")), "left").select("row", "text", "gone")
 
     def start():
         def work(texts, drops):
@@ -270,9 +272,9 @@ def dedup_lines(
 
         return work
 
-    return add_columns(joined, [text, "_gone"], f"`{text}` STRING, n_lines BIGINT, n_dropped BIGINT", start).select(
-        *[F.col(f"`{c}`") for c in df.columns if c.lower() not in ("n_lines", "n_dropped")], "n_lines", "n_dropped"
-    )
+    out = add_columns(joined, ["text", "gone"], "text STRING, n_lines BIGINT, n_dropped BIGINT", start)
+    others = [F.col("text").alias(text) if c == text else F.col(f"row.`{c}`") for c in without(df, ["n_lines", "n_dropped"])]
+    return out.select(*others, "n_lines", "n_dropped")
 
 
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -21,9 +21,11 @@ ordered by tokens, then text; an empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from wordloom.llm.common import WORD, documents, without
+from wordloom.llm.common import WORD, documents, nested
 from wordloom.staging import stage
 
 SEED, MAX_EPOCHS = 42, 2
@@ -99,11 +101,11 @@ def mix(
     parts = [F.coalesce(c.cast("string"), blank) for c in (domain, F.col(lang), F.col(source))]
     tokens = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
     numbered = df.select(
-        *[F.col(f"`{c}`") for c in without(df, ["epoch", "taken_tokens"])],
-        F.concat_ws("/", *parts).alias("_leaf"), tokens.alias("_tokens"), F.struct(*[p.alias(n) for p, n in zip(parts, ("domain", "lang", "source"))]).alias("_path"),
+        nested(df, ["epoch", "taken_tokens"]).alias("row"), F.col(id).alias("id"), F.coalesce(F.col(text), blank).alias("text"),
+        F.concat_ws("/", *parts).alias("leaf"), tokens.alias("tokens"), F.struct(*[p.alias(n) for p, n in zip(parts, ("domain", "lang", "source"))]).alias("path"),
     )
-    slim = stage(numbered.select(F.col(id).alias("id"), F.col("_leaf").alias("leaf"), F.col("_tokens").alias("tokens"), "_path"), "mix-documents")
-    leaves = stage(slim.groupBy("leaf", "_path").agg(F.sum("tokens").alias("tokens")).select("leaf", "_path.*", "tokens"), "mix-leaves")
+    slim = stage(numbered.select("id", "leaf", "tokens", "path"), "mix-documents")
+    leaves = stage(slim.groupBy("leaf", "path").agg(F.sum("tokens").alias("tokens")).select("leaf", "path.*", "tokens"), "mix-leaves")
     total = leaves.agg(F.sum("tokens")).first()[0] or 0
     plan = _budgets(leaves, total * budget_percent // 100, max_epochs, weights)
     whole = F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(0)
@@ -119,21 +121,18 @@ def mix(
     second = near.groupBy("leaf", F.substring("key", 3, 2).alias("b2")).agg(F.sum("tokens").alias("tokens"), F.first("rest").alias("rest1"))
     cut2 = stage(_cut(second, "b2", "rest1"), "mix-cuts").withColumnRenamed("last", "c2").withColumnRenamed("rest", "rest2")
     ends = plan.join(cut1.select("leaf", "c1"), "leaf", "left").join(cut2, "leaf", "left")
-    ends = stage(ends, "mix-ends").withColumnRenamed("leaf", "_leaf")
-
-    found = numbered.drop("_path").join(ends, "_leaf").withColumn("_key", key(F.col(id)))
-    edge, cut = F.substring("_key", 1, 4), F.concat("c1", "c2")
-    kept = without(df, ["epoch", "taken_tokens"])
-    columns = [*[F.col(f"`{c}`") for c in kept], "epoch", "taken_tokens"]
+    found = numbered.drop("path").join(stage(ends, "mix-ends"), "leaf").withColumn("key", key(F.col("id")))
+    edge, cut = F.substring("key", 1, 4), F.concat("c1", "c2")
     before = F.coalesce(edge < cut, F.lit(False))
     epochs = F.sequence(F.lit(0), F.col("epochs").cast("int") - F.when(before, 0).otherwise(1))
-    full = found.where((F.col("epochs") > 0) | before).withColumn("epoch", F.explode(epochs)).withColumn("taken_tokens", F.col("_tokens"))
-    inside = Window.partitionBy("_leaf").orderBy("_key", "_tokens", F.md5(F.coalesce(F.col(text), blank))).rowsBetween(Window.unboundedPreceding, -1)
+    full = found.where((F.col("epochs") > 0) | before).withColumn("epoch", F.explode(epochs)).withColumn("taken_tokens", F.col("tokens"))
+    inside = Window.partitionBy("leaf").orderBy("key", "tokens", F.md5("text")).rowsBetween(Window.unboundedPreceding, -1)
     last = (
-        found.where(edge == cut).withColumn("_before", F.coalesce(F.sum("_tokens").over(inside), F.lit(0)))
-        .where(F.col("_before") < F.col("rest2")).withColumn("epoch", F.col("epochs").cast("int"))
-        .withColumn("taken_tokens", F.least(F.col("_tokens"), F.col("rest2") - F.col("_before")))
+        found.where(edge == cut).withColumn("earlier", F.coalesce(F.sum("tokens").over(inside), F.lit(0)))
+        .where(F.col("earlier") < F.col("rest2")).withColumn("epoch", F.col("epochs").cast("int"))
+        .withColumn("taken_tokens", F.least(F.col("tokens"), F.col("rest2") - F.col("earlier")))
     )
+    columns = ["row.*", "epoch", "taken_tokens"]
     return full.select(*columns).unionByName(last.select(*columns))
 
 
@@ -146,3 +145,70 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Documents chosen by epoch for the registered weights."""
     docs = documents(spark, folder).select("doc_id", "text", "lang", "source")
     return mix(docs, domain_of_source(), BUDGET_PERCENT, WEIGHTS).select("doc_id", "lang", "source", "epoch", "taken_tokens")
+
+
+def _share_sql(nodes: str, name: str) -> str:
+    """SQL of ``_share``: (path, budget) of the nodes, which have parent, name, path, weight, cap and given."""
+    return f"""
+{name}_ordered AS (
+    SELECT *, coalesce(sum(cap) OVER (PARTITION BY parent ORDER BY cap::DOUBLE / greatest(weight, 1), name
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+           sum(weight) OVER (PARTITION BY parent ORDER BY cap::DOUBLE / greatest(weight, 1), name
+                             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS left_weight
+    FROM (SELECT * REPLACE (CASE WHEN weight > 0 THEN cap ELSE 0 END AS cap) FROM {nodes})
+), {name}_full AS (
+    SELECT *, cap * left_weight <= weight * (given - before) AS filled FROM {name}_ordered
+), {name}_rest AS (
+    SELECT *, given - coalesce(sum(cap) FILTER (WHERE filled) OVER (PARTITION BY parent), 0) AS rest,
+           sum(weight) FILTER (WHERE NOT filled) OVER (PARTITION BY parent) AS open FROM {name}_full
+), {name}_part AS (
+    SELECT *, CASE WHEN filled THEN 0 ELSE rest * weight // open END AS part FROM {name}_rest
+), {name} AS (
+    SELECT path, (CASE WHEN filled THEN cap ELSE part + CASE WHEN weight > 0 AND
+               row_number() OVER (PARTITION BY parent, filled ORDER BY name) <= rest - sum(part) OVER (PARTITION BY parent)
+               THEN 1 ELSE 0 END END)::BIGINT AS budget
+    FROM {name}_part
+)"""
+
+
+def _weight_sql(path: str) -> str:
+    return "CASE " + " ".join(f"WHEN {path} = '{p}' THEN {w}" for p, w in sorted(WEIGHTS.items())) + " ELSE 1 END"
+
+
+#: The domain is a hash that DuckDB lacks, so the names of the twenty sources are given with theirs.
+_DOMAINS = ", ".join(f"('src{i}', 'd{zlib.crc32(f'src{i}'.encode()) % 3}')" for i in range(20))
+OP1_SQL = f"""
+WITH docs AS (
+    SELECT doc_id, m.d AS domain, lang, source, m.d || '/' || lang || '/' || source AS leaf,
+           len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens
+    FROM documents JOIN (VALUES {_DOMAINS}) AS m(s, d) ON source = m.s
+), leaves AS (
+    SELECT domain, lang, source, leaf, sum(tokens)::HUGEINT AS tokens, sum(tokens)::HUGEINT * {MAX_EPOCHS} AS cap FROM docs GROUP BY ALL
+), total AS (SELECT sum(tokens) * {BUDGET_PERCENT} // 100 AS budget, sum(cap) AS cap FROM leaves),
+n1 AS (
+    SELECT '' AS parent, domain AS name, domain AS path, {_weight_sql("domain")} AS weight, sum(leaves.cap) AS cap,
+           (SELECT least(budget, cap) FROM total) AS given
+    FROM leaves GROUP BY domain
+), {_share_sql("n1", "s1")},
+n2 AS (
+    SELECT domain AS parent, lang AS name, domain || '/' || lang AS path, {_weight_sql("domain || '/' || lang")} AS weight,
+           sum(cap) AS cap, any_value(s1.budget) AS given
+    FROM leaves JOIN s1 ON s1.path = domain GROUP BY domain, lang
+), {_share_sql("n2", "s2")},
+n3 AS (
+    SELECT domain || '/' || lang AS parent, source AS name, leaf AS path, {_weight_sql("leaf")} AS weight, cap, s2.budget AS given
+    FROM leaves JOIN s2 ON s2.path = domain || '/' || lang
+), {_share_sql("n3", "s3")},
+plan AS (
+    SELECT leaf, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS epochs,
+           budget - CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END * tokens AS prefix
+    FROM leaves JOIN s3 ON s3.path = leaf
+), ordered AS (
+    SELECT docs.*, epochs, prefix, coalesce(sum(tokens) OVER (
+               PARTITION BY leaf ORDER BY md5('{SEED}/' || epochs || '/' || doc_id) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM docs JOIN plan USING (leaf)
+)
+SELECT doc_id, lang, source, unnest(range(epochs::BIGINT))::INT AS epoch, tokens::BIGINT AS taken_tokens FROM ordered
+UNION ALL
+SELECT doc_id, lang, source, epochs::INT AS epoch, least(tokens, prefix - before)::BIGINT AS taken_tokens FROM ordered WHERE before < prefix
+"""

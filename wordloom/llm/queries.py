@@ -5,7 +5,7 @@ from __future__ import annotations
 from wordloom.llm.bpe import op2_bpe
 from wordloom.llm.language_model import op3_lattice_score
 from wordloom.llm.lines import OP9_SQL, op9_line_dedup
-from wordloom.llm.mixing import op1_mixing
+from wordloom.llm.mixing import OP1_SQL, op1_mixing
 from wordloom.llm.neighbours import OP8_SQL, op8_neighbours
 from wordloom.llm.quality import op5_fertility
 from wordloom.llm.simhash import op4_simhash
@@ -26,4 +26,4 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 
-SQL: dict[str, str] = {"op8_neighbours": OP8_SQL, "op9_line_dedup": OP9_SQL}
+SQL: dict[str, str] = {"op1_mixing": OP1_SQL, "op8_neighbours": OP8_SQL, "op9_line_dedup": OP9_SQL}

@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordloom.llm.common import add_columns, documents, fold_text, words_of
+from wordloom.llm.common import add_columns, documents, fold_text, nested, words_of
 from wordloom.llm.components import components
 from wordloom.staging import stage
 
@@ -194,8 +194,8 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", shing
 
 def keep_one(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, budget: int = BUDGET) -> DataFrame:
     """The rows of ``df`` less near-duplicates: of each component the first row of the smallest id stays."""
-    columns = df.columns
-    marked = fingerprints(df.withColumn("_id", F.col(id)), text, shingle).withColumn("_row", F.monotonically_increasing_id())
+    packed = df.select(nested(df).alias("row"), F.col(id).alias("_id"), F.col(text).alias("text"))
+    marked = fingerprints(packed, "text", shingle).drop("text").withColumn("_row", F.monotonically_increasing_id())
     marked = stage(marked, "fingerprinted")  # fixes the row numbers
     slim = marked.select("_id", "fp", "_row")
     labels = _components(slim, budget).select("fp", "label")
@@ -203,7 +203,7 @@ def keep_one(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int
     # Exact copies meet their label as one row, so that no label gathers them.
     stays = slim.groupBy("fp").agg(first).join(labels, "fp").groupBy("label").agg(F.min("first").alias("first"))
     stays = stage(stays.select(F.col("first._row").alias("_row")), "kept-rows")
-    return marked.join(stays, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in columns])
+    return marked.join(stays, "_row", "left_semi").select("row.*")
 
 
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:

@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wordloom.llm.common import documents, without
+from wordloom.llm.common import documents, nested, without
 from wordloom.staging import stage
 
 #: Key of the registered query; callers give their own secret.
@@ -193,27 +193,27 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 
 def replace_private(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """The rows with ``text`` free of the entities found, and ``n_entities``."""
-    kept = without(df, ["n_entities"])
-    column = F.col(f"`{text}`")
-    rows = df.select(*[F.col(f"`{c}`") for c in kept])
-    hinted = F.coalesce(F.regexp_like(column, F.lit(_HINT)), F.lit(False))
-    values = F.when(hinted, F.regexp_extract_all(column, F.lit(ENTITY), F.lit(0)))
-    has = F.coalesce(hinted & F.regexp_like(column, F.lit(ENTITY)), F.lit(False))
-    found = rows.where(has).withColumn("_values", values).withColumn("_gaps", F.split(column, ENTITY, -1))
-    parts = F.flatten(F.zip_with(F.slice("_gaps", F.lit(1), F.size("_values")), "_values", _parts))
-    found = found.withColumn("_parts", parts).withColumn("_tail", F.element_at("_gaps", -1)).withColumn("n_entities", F.size("_values"))
-    found = stage(found.drop(text, "_gaps", "_values").withColumn("_row", F.monotonically_increasing_id()), "private-rows")
-    mentions = found.select("_row", F.posexplode(F.transform("_parts", lambda p: F.struct(p.kind, p.value))).alias("_at", "p")).select("_row", "_at", "p.*")
+    order = without(df, ["n_entities"])
+    rows = df.select(nested(df, [text, "n_entities"]).alias("row"), F.col(f"`{text}`").alias("text"))
+    hinted = F.coalesce(F.regexp_like("text", F.lit(_HINT)), F.lit(False))
+    has = hinted & F.regexp_like("text", F.lit(ENTITY))
+    found = rows.where(has).select("row", F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0)).alias("values"), F.split("text", ENTITY, -1).alias("gaps"))
+    parts = F.flatten(F.zip_with(F.slice("gaps", F.lit(1), F.size("values")), "values", _parts))
+    found = found.select(
+        "row", parts.alias("parts"), F.element_at("gaps", -1).alias("tail"), F.size("values").alias("n_entities"), F.monotonically_increasing_id().alias("number")
+    )
+    found = stage(found, "private-rows")  # fixes the row numbers
+    mentions = found.select("number", F.posexplode(F.transform("parts", lambda p: F.struct(p.kind, p.value))).alias("at", "p")).select("number", "at", "p.*")
     entities = stage(mentions.select("kind", "value").distinct(), "private-entities")
     table = stage(surrogates(entities, key), "private-surrogates")
     new = (
-        mentions.join(table.select("kind", "value", "surrogate"), ["kind", "value"]).groupBy("_row")
-        .agg(F.sort_array(F.collect_list(F.struct("_at", "surrogate"))).alias("_new"))
+        mentions.join(table.select("kind", "value", "surrogate"), ["kind", "value"]).groupBy("number")
+        .agg(F.sort_array(F.collect_list(F.struct("at", "surrogate"))).alias("new"))
     )
-    joined = F.zip_with("_parts", "_new.surrogate", lambda p, s: F.concat(p.before, s))
-    changed = found.join(new, "_row").withColumn(text, F.concat(F.array_join(joined, ""), "_tail"))
-    columns = [*[F.col(f"`{c}`") for c in kept], F.col("n_entities")]
-    return changed.select(*columns).unionByName(rows.where(~has).withColumn("n_entities", F.lit(0)).select(*columns))
+    joined = F.zip_with("parts", "new.surrogate", lambda p, s: F.concat(p.before, s))
+    changed = found.join(new, "number").select("row", F.concat(F.array_join(joined, ""), "tail").alias("text"), "n_entities")
+    whole = changed.unionByName(rows.where(~has).withColumn("n_entities", F.lit(0)))
+    return whole.select(*[F.col("text").alias(text) if c == text else F.col(f"row.`{c}`") for c in order], "n_entities")
 
 
 def op7_surrogates(spark: SparkSession, folder: str) -> DataFrame:
