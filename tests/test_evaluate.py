@@ -49,3 +49,18 @@ def test_settings_are_distinct_and_seeded():
     assert a == models.sampled_settings(models.FOREST_GRIDS["wide"], 15)
     assert len({tuple(sorted(s.items())) for s in a}) == 15
     assert max(s["maxDepth"] for s in a) <= 30
+
+
+def test_deviation_of_large_values(spark):
+    from wordloom.operators import profiles
+
+    df = spark.createDataFrame([(1e9,), (1e9 + 1,), (1e9 + 2,)], "x double")
+    stats = {r.stat: r.value for r in profiles.describe(df, ["x"]).collect()}
+    assert stats["std"] == 1.0 and stats["mean"] == 1e9 + 1
+    lengths = profiles.length_stats(spark.createDataFrame([("a",), ("abc",)], "word string")).first()
+    assert abs(lengths.std_length - 2**0.5) < 1e-12
+
+
+def test_confusion_matrix_loses_no_prediction(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", "z")], "label string, prediction string")
+    assert ev.confusion_matrix(df, ["a", "b"]).first().asDict() == {"label": "a", "a": 1, "b": 0, "other": 1}

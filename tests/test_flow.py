@@ -15,7 +15,7 @@ from wordloom.streaming import words
 def test_training_flow(spark, sf):
     rows, encoders, scaler = inputs.prepared(spark, sf, fit_on="train")
     xy = models.load_xy(rows).cache()
-    trained = models.train_all(xy, len(inputs.CLASSES), settings=1)
+    trained = models.train_all(xy, len(inputs.CLASSES), "smoke", 1)
     preds = models.all_predictions({n: m for n, (m, _) in trained.items()}, xy)
     table = ev.compare(preds).toPandas()
     assert set(table.model) == {"random_forest", "boost_searched", "boost_fixed", "ensemble"}
@@ -50,6 +50,7 @@ def test_xml_reader(spark):
     text = """<mediawiki xmlns="http://example.org/export/">
 <page><title>A</title><id>1</id><revision><id>7</id><text bytes="3" xml:space="preserve">a &amp; b</text></revision></page>
 <page><title>B</title><id>2</id><text>plain</text></page>
+<page><title>E</title><id>5</id><revision><text>first</text></revision><revision><text>second</text></revision></page>
 <page><title>C</title><id>3</id><revision></page>
 <page><title>D</title><id>4</id><revision><text/></revision></page>
 </mediawiki>"""
@@ -57,6 +58,7 @@ def test_xml_reader(spark):
     rows = {r.doc_id: (r.title, r.text) for r in files.read_wiki_xml(spark, path).collect()}
     assert rows[1] == ("A", "a & b") and rows[2] == ("B", "plain")
     assert not rows.get(4, (None, None))[1]
+    assert rows[5] == ("E", "first")
     assert 3 not in rows
 
 

@@ -8,8 +8,8 @@ from wordloom.staging import stage
 
 def test_dataset_invariants(spark, sf):
     chosen, n, words = inputs.candidates(spark, sf)
-    errors, right = inputs.sample_sizes(n)
-    df = synth.build_dataset(chosen, n, words, errors, right).toPandas()
+    errors, right = K.ERROR_SAMPLES, min(K.CORRECT_SAMPLES, n)
+    df = synth.build_dataset(chosen, n, words).toPandas()
     assert list(df.columns) == list(synth.SAMPLE_COLUMNS)
     assert sorted(df.id) == list(range(1, errors + right + 1))
     wrong = df[df.error_type != "correct"]
@@ -54,7 +54,9 @@ def test_group_split(spark, sf):
     assert sizes["test"] == -(-held * 6 // 10)
     assert split.groupby("correct_word").split.nunique().max() == 1
     rough = prepare.split_by_group(df, mode="approx")
-    assert prepare.leaking_groups(rough).count() == 0
+    assert all(r.leaking == 0 for r in prepare.leak_check(rough).collect())
+    mixed = spark.createDataFrame([("a", "train"), ("a", "test"), ("b", "val")], "correct_word string, split string")
+    assert {tuple(r) for r in prepare.leak_check(mixed).collect()} == {("train", 1, 1), ("test", 1, 1), ("val", 1, 0)}
 
 
 def test_scaling(spark):
@@ -77,5 +79,18 @@ def test_unseen_label_gets_minus_one(spark):
     assert {r.first_char: r.first_char_encoded for r in out.collect()} == {"b": 1, "z": -1}
 
 
-def test_candidate_limit_is_the_published_one():
-    assert inputs.sample_sizes(K.CANDIDATE_WORDS) == (K.ERROR_SAMPLES, K.CORRECT_SAMPLES)
+def test_dictionary_has_no_floor_and_a_known_size(spark, sf):
+    """Rare words are in the dictionary with frequency 0; a small cut still joins by broadcast."""
+    words = inputs.staged_vocab(spark, sf)
+    full = inputs.dictionary_of(words)
+    assert full.count() == words.count() and full.where("freq > 0").count() == words.where(F.col("freq") >= K.TABLE_MIN_FREQ).count()
+    cut = stage(ranking.most_frequent(words, 100), "cut-dictionary")
+    assert cut.count() == 100
+    plan = spark.range(10).select(F.col("id").cast("string").alias("word")).join(cut.select("word"), "word", "left_anti")
+    assert "BroadcastHashJoin" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dataset_is_built_the_same_twice(spark, sf):
+    chosen, n, words = inputs.candidates(spark, sf)
+    first, second = (synth.build_dataset(chosen, n, words, 500, 100) for _ in range(2))
+    assert first.exceptAll(second).count() == 0 and first.count() == second.count() == 600

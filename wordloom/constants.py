@@ -12,6 +12,8 @@ SNAPSHOT_ARTICLES = 50_000
 SNAPSHOT_MIN_FREQ = 5
 FREQ_THRESHOLDS = (5, 10, 20, 50)
 DICTIONARY_SIZE = 200_000
+# Words rarer than this are not in the frequency table: they are no candidates and read as frequency 0.
+TABLE_MIN_FREQ = 10
 
 # --- fixed values: synthetic misspellings -----------------------------------
 SEED = 42

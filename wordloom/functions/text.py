@@ -94,7 +94,8 @@ def is_article(title: Column, text: Column) -> Column:
 
 
 def is_redirect(text: Column) -> Column:
-    return text.startswith(K.REDIRECT_PREFIX)
+    """False for a missing text."""
+    return F.coalesce(text.startswith(K.REDIRECT_PREFIX), F.lit(False))
 
 
 def in_skipped_namespace(title: Column) -> Column:

@@ -20,7 +20,7 @@ def candidate_articles(pages: DataFrame) -> DataFrame:
 
 
 def accepted_articles(pages: DataFrame, max_articles: int | None = None) -> DataFrame:
-    """(doc_id, words) of the articles that count, at most ``max_articles`` in source order.
+    """(doc_id, words) of the articles that count, at most ``max_articles`` ids in source order.
 
     Cleaned text and words are pinned, so each is computed once although a
     length gate follows it.
@@ -34,9 +34,10 @@ def accepted_articles(pages: DataFrame, max_articles: int | None = None) -> Data
     ).select("doc_id", "words")
     if max_articles is None:
         return kept
-    # Only ids are sorted for the cap; the words of an article stay where they are.
-    kept = stage(kept, "accepted")
-    last = kept.select("doc_id").orderBy("doc_id").limit(max_articles).agg(F.max("doc_id").alias("d"))
+    # Only ids are written and numbered for the cap; the words are derived again under the id bound.
+    ids = stage(kept.select("doc_id").distinct(), "accepted-ids")
+    numbered = dense_index(ids, [F.col("doc_id")], "n")
+    last = numbered.where(F.col("n") <= max_articles).agg(F.max("doc_id").alias("d"))
     return kept.where(F.col("doc_id") <= last.scalar())
 
 

@@ -15,10 +15,12 @@ def confusion(preds: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 
 def confusion_matrix(preds: DataFrame, classes: list[str]) -> DataFrame:
-    """One row per label, one column per class of the fixed class list."""
+    """One row per label, one column per class of the fixed class list, and ``other`` for any other prediction."""
+    known = F.when(F.col("prediction").isin(classes), F.col("prediction")).otherwise("other")
+    columns = [*classes, "other"]
     return (
-        preds.groupBy("label").pivot("prediction", classes).agg(F.count(F.lit(1)))
-        .na.fill(0, classes)
+        preds.select("label", known.alias("_prediction")).groupBy("label").pivot("_prediction", columns)
+        .agg(F.count(F.lit(1))).na.fill(0, columns)
     )
 
 

@@ -55,6 +55,14 @@ SEARCH_SETTINGS = {"forest": 15, "boost": 20}
 FOLDS = 3
 PARALLEL_FITS = 2
 EARLY_STOP_TOLERANCE = 0.01
+# Most labelled rows that a model is fitted on; beyond it a hash of the id chooses.
+FIT_ROWS = 20_000
+
+
+def bounded(rows: DataFrame, most: int = FIT_ROWS) -> DataFrame:
+    """At most about ``most`` rows, the same ones on every run."""
+    n = rows.count()
+    return rows if n <= most else rows.where(F.pmod(F.xxhash64("id"), F.lit(n)) < most)
 
 
 def load_xy(df: DataFrame, label: str = "error_type_encoded") -> DataFrame:
@@ -210,7 +218,7 @@ def load_models(root: str, names: list[str]) -> dict:
 def random_search(make, grid: dict[str, list], count: int, train: DataFrame, seed: int = K.SEED):
     """(best setting, its cross-validated weighted F1, refitted model). Folds come from a hash of the id."""
     settings = sampled_settings(grid, count, seed)
-    folded = train.withColumn("_fold", (F.abs(F.xxhash64("id", F.lit(seed))) % FOLDS).cast("int"))
+    folded = bounded(train).withColumn("_fold", (F.abs(F.xxhash64("id", F.lit(seed))) % FOLDS).cast("int"))
     evaluator = MulticlassClassificationEvaluator(metricName="f1")
     pipeline = Pipeline(stages=[])
     maps = [{pipeline.stages: [make(**s)]} for s in settings]
@@ -223,14 +231,14 @@ def random_search(make, grid: dict[str, list], count: int, train: DataFrame, see
     return settings[best], model.avgMetrics[best], model.bestModel.stages[-1]
 
 
-def train_forest(train: DataFrame, preset: str = "smoke", settings: int | None = None):
+def train_forest(train: DataFrame, preset: str = "wide", settings: int | None = None):
     """Searched random forest on balanced class weights."""
     count = settings or SEARCH_SETTINGS["forest"]
     _, _, model = random_search(forest, FOREST_GRIDS[preset], count, with_weights(train))
     return model
 
 
-def train_boost_searched(train: DataFrame, classes: int, preset: str = "smoke", settings: int | None = None):
+def train_boost_searched(train: DataFrame, classes: int, preset: str = "wide", settings: int | None = None):
     """Searched boosted trees."""
     count = settings or SEARCH_SETTINGS["boost"]
     make = lambda **s: PerClassBoost(classes, **s)
@@ -238,9 +246,9 @@ def train_boost_searched(train: DataFrame, classes: int, preset: str = "smoke",
     return model
 
 
-def train_boost_fixed(rows: DataFrame, classes: int, preset: str = "smoke"):
+def train_boost_fixed(rows: DataFrame, classes: int, preset: str = "wide"):
     """Boosted trees with fixed settings; rows of the validation split decide when to stop."""
-    flagged = rows.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
+    flagged = bounded(rows.where(F.col("split") != "test")).withColumn("is_val", F.col("split") == "val")
     return PerClassBoost(classes, "is_val", **BOOST_FIXED[preset]).fit(flagged)
 
 
@@ -267,7 +275,7 @@ def importance(model, spark: SparkSession, features: tuple[str, ...] = K.FEATURE
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
-def train_all(rows: DataFrame, classes: int, preset: str = "smoke", settings: int | None = None) -> dict:
+def train_all(rows: DataFrame, classes: int, preset: str = "wide", settings: int | None = None) -> dict:
     """Train the three models; returns name -> (model, seconds)."""
     train = rows.where(F.col("split") == "train")
     jobs = {
@@ -306,7 +314,7 @@ class ErrorTyper:
         self.model, self.encoders, self.scaler = model, encoders, scaler
 
 
-def train_error_typer(prepared: DataFrame, encoders: DataFrame, scaler: DataFrame, classes: int, preset: str = "smoke") -> ErrorTyper:
+def train_error_typer(prepared: DataFrame, encoders: DataFrame, scaler: DataFrame, classes: int, preset: str = "wide") -> ErrorTyper:
     return ErrorTyper(train_boost_fixed(load_xy(prepared), classes, preset), encoders, scaler)
 
 

@@ -128,10 +128,13 @@ def split_by_group(
     return df.join(place.select(group, split.alias("split")), group)
 
 
-def leaking_groups(df: DataFrame, group: str = "correct_word") -> DataFrame:
-    """Groups found in more than one split; empty when the split is sound."""
-    spread = df.select(group, "split").distinct().groupBy(group).agg(F.count(F.lit(1)).alias("splits"))
-    return spread.where(F.col("splits") > 1)
+def leak_check(df: DataFrame, group: str = "correct_word") -> DataFrame:
+    """(split, groups, leaking): groups of each split, and those among them that are also in another one."""
+    pairs = df.select(group, "split").distinct()
+    spread = pairs.groupBy(group).agg(F.collect_list("split").alias("splits"))
+    return spread.select(F.explode("splits").alias("split"), (F.size("splits") > 1).alias("_leaks")).groupBy("split").agg(
+        F.count(F.lit(1)).alias("groups"), F.count_if("_leaks").alias("leaking")
+    )
 
 
 def split_rows(df: DataFrame, splits: DataFrame) -> DataFrame:

@@ -40,13 +40,14 @@ def length_stats(words: DataFrame) -> DataFrame:
     hist = words.groupBy(F.length("word").alias("len")).agg(F.count(F.lit(1)).alias("n"))
     (median,) = weighted_percentile(hist, "len", [0.5])
     n, total = F.sum("n"), F.sum(F.col("len") * F.col("n"))
-    squares = F.sum(F.col("len") * F.col("len") * F.col("n"))
+    mean = hist.agg(F.sum(F.col("len") * F.col("n")) / F.sum("n"))
+    away = F.col("len") - mean.scalar()
     return hist.agg(
         (total / n).alias("mean_length"),
         median.alias("median_length"),
         F.min("len").alias("min_length"),
         F.max("len").alias("max_length"),
-        F.sqrt((squares - total * (total / n)) / (n - 1)).alias("std_length"),
+        F.sqrt(F.sum(F.col("n") * away * away) / F.when(n > 1, n - 1)).alias("std_length"),
     )
 
 
@@ -126,11 +127,13 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     )
     q25, q50, q75 = weighted_percentile(hist, "value", [0.25, 0.5, 0.75])
     n, total = F.sum("n"), F.sum(F.col("value") * F.col("n"))
-    squares = F.sum(F.col("value") * F.col("value") * F.col("n"))
-    wide = hist.groupBy("column").agg(
+    # Deviations from the mean, not a difference of squares, which loses all digits when the mean is large.
+    means = hist.groupBy("column").agg((total / n).alias("_mean"))
+    away = F.col("value") - F.col("_mean")
+    wide = hist.join(means, "column").groupBy("column").agg(
         n.cast("double").alias("count"),
-        (total / n).alias("mean"),
-        F.sqrt(F.greatest(squares - total * (total / n), F.lit(0.0)) / (n - 1)).alias("std"),
+        F.first("_mean").alias("mean"),
+        F.sqrt(F.sum(F.col("n") * away * away) / F.when(n > 1, n - 1)).alias("std"),
         F.min("value").alias("min"),
         q25.alias("25%"), q50.alias("50%"), q75.alias("75%"),
         F.max("value").alias("max"),

@@ -55,7 +55,7 @@ def candidate_draws(candidates: DataFrame, n_candidates: int, attempts: int, see
     """
     spark = candidates.sparkSession
     numbered = spark.range(attempts).withColumnRenamed("id", "attempt")
-    pick = (draw(F.col("attempt"), seed, typos.CANDIDATE) % n_candidates).alias("idx")
+    pick = (draw(F.col("attempt"), seed, typos.CANDIDATE) % max(n_candidates, 1)).alias("idx")
     return numbered.select("attempt", pick).join(candidates, "idx").select("attempt", "word", "freq")
 
 

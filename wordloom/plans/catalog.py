@@ -76,7 +76,7 @@ def _(spark, sf):
     rows, _, _ = inputs.prepared(spark, sf)
     xy = models.load_xy(rows)
     root = fresh_path(spark, "models")
-    models.save_model(models.train_boost_fixed(xy, len(inputs.CLASSES)), f"{root}/boost_fixed")
+    models.save_model(models.train_boost_fixed(xy, len(inputs.CLASSES), "smoke"), f"{root}/boost_fixed")
     found = models.load_models(root, ["random_forest", "boost_fixed"])
     return models.predictions(found["boost_fixed"], xy, "boost_fixed").drop("probabilities")
 
@@ -122,7 +122,7 @@ def _(spark, sf):
     rows, _, _ = inputs.prepared(spark, sf)
     xy = models.load_xy(rows)
     path = fresh_path(spark, "models") + "/random_forest"
-    models.save_model(models.train_forest(xy.where(F.col("split") == "train"), settings=1), path)
+    models.save_model(models.train_forest(xy.where(F.col("split") == "train"), "smoke", 1), path)
     return models.predictions(models.load_model(path), xy, "random_forest").drop("probabilities")
 
 
@@ -275,8 +275,7 @@ def _(spark, sf):
 @query("join_candidate_draw")
 def _(spark, sf):
     chosen, n, _ = inputs.candidates(spark, sf)
-    attempts = inputs.sample_sizes(n)[0] * K.ATTEMPTS_PER_SAMPLE
-    return synth.candidate_draws(chosen, n, attempts)
+    return synth.candidate_draws(chosen, n, K.ERROR_SAMPLES * K.ATTEMPTS_PER_SAMPLE)
 
 
 def _unknown_lowers(spark, sf, words):
@@ -343,7 +342,8 @@ simple("prof_split_share", lambda spark, sf: profiles.split_shares(
 @query("prof_before_after")
 def _(spark, sf):
     data = inputs.dataset(spark, sf)
-    return profiles.summary({"before": data, "after": ft.with_features(data)})
+    train = prepare.split_by_group(data).where(F.col("split") == "train")
+    return profiles.summary({"before": data, "after": ft.with_features(train)})
 
 
 @query("prof_summary")
@@ -373,7 +373,7 @@ simple("bottom_words", lambda spark, sf: ranking.bottom_words(inputs.vocab(spark
 @query("sample_without_replacement")
 def _(spark, sf):
     chosen, n, _ = inputs.candidates(spark, sf)
-    return synth.sample_without_replacement(chosen.select("word", "freq"), inputs.sample_sizes(n)[1])
+    return synth.sample_without_replacement(chosen.select("word", "freq"), K.CORRECT_SAMPLES)
 
 
 @query("shuffle_renumber")
@@ -391,16 +391,16 @@ def _(spark, sf):
 @query("set_union_samples")
 def _(spark, sf):
     chosen, n, words = inputs.candidates(spark, sf)
-    errors, right = inputs.sample_sizes(n)
     return synth.union_samples(
-        synth.error_samples(chosen, n, words, errors), synth.correct_samples(chosen, right)
+        synth.error_samples(chosen, n, words, K.ERROR_SAMPLES), synth.correct_samples(chosen, K.CORRECT_SAMPLES)
     )
 
 
 @query("set_label_union")
 def _(spark, sf):
     data = inputs.dataset(spark, sf)
-    return profiles.label_union(data, prepare.split_by_group(data))
+    label = F.col("error_type")
+    return profiles.label_union(data.where(label != "insertion"), data.where(label.isin("insertion", "correct")))
 
 
 @query("set_word_unique")
@@ -427,13 +427,13 @@ simple("gen_type_draw", lambda spark, sf: typos.with_draws(inputs.vocab(spark, s
 @query("gen_errors")
 def _(spark, sf):
     chosen, n, words = inputs.candidates(spark, sf)
-    return synth.error_samples(chosen, n, words, inputs.sample_sizes(n)[0])
+    return synth.error_samples(chosen, n, words, K.ERROR_SAMPLES)
 
 
 @query("gen_correct")
 def _(spark, sf):
     chosen, n, _ = inputs.candidates(spark, sf)
-    return synth.correct_samples(chosen, inputs.sample_sizes(n)[1])
+    return synth.correct_samples(chosen, K.CORRECT_SAMPLES)
 
 
 simple("gen_dataset", inputs.dataset)
@@ -557,7 +557,7 @@ def _(spark, sf):
 
 simple("split_group", lambda spark, sf: prepare.split_by_group(inputs.dataset(spark, sf)).select(
     "id", "correct_word", "split"))
-simple("split_no_leak_check", lambda spark, sf: prepare.leaking_groups(
+simple("split_no_leak_check", lambda spark, sf: prepare.leak_check(
     prepare.split_by_group(inputs.dataset(spark, sf))))
 
 
@@ -594,22 +594,22 @@ def _trained(name, train):
         return models.predictions(train(xy), xy, name).drop("probabilities")
 
 
-_trained("ml_rf", lambda xy: models.train_forest(xy.where(F.col("split") == "train"), settings=2))
+_trained("ml_rf", lambda xy: models.train_forest(xy.where(F.col("split") == "train"), "smoke", 2))
 _trained("ml_gbt_level", lambda xy: models.train_boost_searched(
-    xy.where(F.col("split") == "train"), len(inputs.CLASSES), settings=1))
-_trained("ml_gbt_fixed", lambda xy: models.train_boost_fixed(xy, len(inputs.CLASSES)))
+    xy.where(F.col("split") == "train"), len(inputs.CLASSES), "smoke", 1))
+_trained("ml_gbt_fixed", lambda xy: models.train_boost_fixed(xy, len(inputs.CLASSES), "smoke"))
 
 
 @query("ml_importance")
 def _(spark, sf):
     xy = _xy(spark, sf)
-    return models.importance(models.train_forest(xy.where(F.col("split") == "train"), settings=1), spark)
+    return models.importance(models.train_forest(xy.where(F.col("split") == "train"), "smoke", 1), spark)
 
 
 @query("ml_predict")
 def _(spark, sf):
     xy = _xy(spark, sf)
-    model = models.train_boost_fixed(xy, len(inputs.CLASSES))
+    model = models.train_boost_fixed(xy, len(inputs.CLASSES), "smoke")
     return models.probability_rows(models.predictions(model, xy, "boost_fixed"))
 
 
@@ -750,7 +750,7 @@ def _(spark, sf):
     best = correct.top_corrections(pairs, 1).select(
         F.col("word").alias("correct_word"), F.col("query").alias("incorrect_word"), "distance"
     )
-    typer = models.train_error_typer(*inputs.prepared(spark, sf), len(inputs.CLASSES))
+    typer = models.train_error_typer(*inputs.prepared(spark, sf), len(inputs.CLASSES), "smoke")
     return models.error_types(best, typer).withColumn("probabilities", F.to_json("probabilities"))
 
 

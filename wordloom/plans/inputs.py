@@ -12,8 +12,6 @@ from wordloom.operators import corpus, prepare, ranking, synth
 from wordloom.sources import tables
 from wordloom.staging import stage
 
-DICTIONARY_MIN_FREQ = 5
-
 
 def vocab(spark: SparkSession, sf: str) -> DataFrame:
     """(word, freq) over the accepted articles of ``documents``."""
@@ -24,13 +22,18 @@ def staged_vocab(spark: SparkSession, sf: str) -> DataFrame:
     return stage(vocab(spark, sf), "vocab")
 
 
-def frequent(words: DataFrame) -> DataFrame:
-    return corpus.at_least(words, DICTIONARY_MIN_FREQ)
+def dictionary_of(words: DataFrame) -> DataFrame:
+    """Staged (word, freq): the most common words of a staged vocabulary, at most the dictionary's size.
+
+    There is no floor. Frequencies are those of the frequency table, so rare words have 0. Written after
+    the cut, so that the planner knows its size and may broadcast it.
+    """
+    freq = F.when(F.col("freq") >= K.TABLE_MIN_FREQ, F.col("freq")).otherwise(F.lit(0).cast("bigint"))
+    return stage(ranking.most_frequent(words).select("word", freq.alias("freq")), "dictionary")
 
 
 def dictionary(spark: SparkSession, sf: str) -> DataFrame:
-    """Staged (word, freq): the most frequent words with freq >= 5."""
-    return ranking.most_frequent(stage(frequent(vocab(spark, sf)), "frequent"))
+    return dictionary_of(staged_vocab(spark, sf))
 
 
 def typo_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -46,23 +49,13 @@ def candidates(spark: SparkSession, sf: str) -> tuple[DataFrame, int, DataFrame]
 
     The number comes from the footer of the staged file.
     """
-    words = stage(frequent(vocab(spark, sf)), "frequent")
-    chosen = stage(ranking.top_candidates(words), "candidates")
-    return chosen, chosen.count(), ranking.most_frequent(words)
-
-
-def sample_sizes(n_candidates: int) -> tuple[int, int]:
-    """Errors and correct samples in the default proportion to the candidates."""
-    return (
-        n_candidates * K.ERROR_SAMPLES // K.CANDIDATE_WORDS,
-        n_candidates * K.CORRECT_SAMPLES // K.CANDIDATE_WORDS,
-    )
+    words = staged_vocab(spark, sf)
+    chosen = stage(ranking.top_candidates(corpus.at_least(words, K.TABLE_MIN_FREQ)), "candidates")
+    return chosen, chosen.count(), dictionary_of(words)
 
 
 def dataset(spark: SparkSession, sf: str) -> DataFrame:
-    chosen, n, words = candidates(spark, sf)
-    errors, correct = sample_sizes(n)
-    return synth.build_dataset(chosen, n, words, errors, correct)
+    return synth.build_dataset(*candidates(spark, sf))
 
 
 def encoded(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:

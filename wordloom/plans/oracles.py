@@ -91,16 +91,14 @@ accepted AS MATERIALIZED (SELECT doc_id, words FROM (SELECT doc_id, {english('cl
 VOCAB = f"""{ARTICLES}, {accepted('articles')},
 vocab AS MATERIALIZED (SELECT word, count(*) AS freq FROM (SELECT unnest(words) AS word FROM accepted) GROUP BY word)"""
 
-DICT = f"""{VOCAB},
-frequent AS MATERIALIZED (SELECT * FROM vocab WHERE freq >= 5),
-dictionary AS MATERIALIZED (SELECT word, freq, row_number() OVER (ORDER BY freq DESC, word) AS rank FROM frequent
-  QUALIFY rank <= {K.DICTIONARY_SIZE})"""
+DICTIONARY = f"""dictionary AS MATERIALIZED (SELECT word, CASE WHEN count >= {K.TABLE_MIN_FREQ} THEN count ELSE 0 END AS freq, rank FROM
+  (SELECT word, freq AS count, row_number() OVER (ORDER BY freq DESC, word) AS rank FROM vocab) WHERE rank <= {K.DICTIONARY_SIZE})"""
+DICT = f"{VOCAB}, {DICTIONARY}"
 
 CANDIDATES = f"""{DICT},
-candidates AS MATERIALIZED (SELECT row_number() OVER (ORDER BY freq DESC, word) - 1 AS idx, word, freq FROM frequent
-  WHERE length(word) BETWEEN {K.MIN_WORD_LENGTH} AND {K.MAX_WORD_LENGTH} QUALIFY idx < {K.CANDIDATE_WORDS}),
-sizes AS MATERIALIZED (SELECT count(*) AS n, count(*) * {K.ERROR_SAMPLES} // {K.CANDIDATE_WORDS} AS errors,
-  count(*) * {K.CORRECT_SAMPLES} // {K.CANDIDATE_WORDS} AS correct FROM candidates)"""
+candidates AS MATERIALIZED (SELECT row_number() OVER (ORDER BY freq DESC, word) - 1 AS idx, word, freq FROM vocab
+  WHERE freq >= {K.TABLE_MIN_FREQ} AND length(word) BETWEEN {K.MIN_WORD_LENGTH} AND {K.MAX_WORD_LENGTH} QUALIFY idx < {K.CANDIDATE_WORDS}),
+sizes AS MATERIALIZED (SELECT count(*) AS n, {K.ERROR_SAMPLES} AS errors, {K.CORRECT_SAMPLES} AS correct FROM candidates)"""
 
 
 def u(key: str, index: int, seed: int = K.SEED) -> str:
@@ -457,7 +455,7 @@ add("tok_sentence", TOKENS, "SELECT * FROM toks")
 # --- filters ---------------------------------------------------------------------------------------------------
 
 add("flt_nonempty", WIKI, "SELECT doc_id, title FROM wiki WHERE title <> '' AND text <> ''")
-add("flt_redirect", WIKI, "SELECT doc_id, title FROM wiki WHERE NOT starts_with(text, '#REDIRECT')")
+add("flt_redirect", WIKI, "SELECT doc_id, title FROM wiki WHERE NOT coalesce(starts_with(text, '#REDIRECT'), false)")
 add("flt_namespace", WIKI, f"SELECT doc_id, title FROM wiki WHERE NOT ({NAMESPACES})")
 add("flt_min_clean", WIKI, f"SELECT * FROM (SELECT doc_id, length({clean('text')})::INTEGER AS chars FROM wiki) WHERE chars > 100")
 add("flt_min_words", WIKI, f"SELECT * FROM (SELECT doc_id, len({english('clean')})::INTEGER AS words FROM (SELECT doc_id, {clean('text')} AS clean FROM wiki)) WHERE words > 20")
@@ -465,7 +463,7 @@ add("flt_article_cap", f"{WIKI}, {accepted('wiki')}", "SELECT doc_id, len(words)
 add("flt_min_freq", VOCAB, "SELECT * FROM vocab WHERE freq >= 10")
 add("flt_word_length", VOCAB, "SELECT * FROM vocab WHERE length(word) BETWEEN 3 AND 20")
 add("flt_positive_freq", f"{VOCAB}, {QUERY_WORDS}", "SELECT word, freq FROM lowers JOIN vocab USING (word) WHERE freq > 0")
-add("flt_sample_gate", f"{PAIRS}, frequent AS (SELECT * FROM vocab WHERE freq >= 5)", f"SELECT correct_word, incorrect_word, error_type FROM ({gate('pairs', 'frequent')})")
+add("flt_sample_gate", f"{PAIRS}, {DICTIONARY}", f"SELECT correct_word, incorrect_word, error_type FROM ({gate('pairs', 'dictionary')})")
 add("flt_alpha_token", TOKENS, f"SELECT * FROM toks WHERE {checkable('token')}")
 add("dq_dropna", WIKI, "SELECT doc_id, title FROM wiki WHERE title <> '' AND text IS NOT NULL")
 SQL["dq_dropdup"] = "SELECT DISTINCT lang, text FROM documents"
@@ -524,7 +522,8 @@ SQL["prof_duplicates"] = """SELECT total, duplicates, round(duplicates * 100.0::
   count(*) - (SELECT count(*) FROM (SELECT DISTINCT lang, text FROM documents)) AS duplicates FROM documents)"""
 add("prof_split_share", SPLIT, """SELECT split, count(*) AS n, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM split), 6) AS pct FROM split GROUP BY split
   UNION ALL SELECT 'total', count(*), 100.0::DOUBLE FROM split""")
-add("prof_before_after", DATASET, "SELECT unnest(['before', 'after']) AS dataset, count(*) AS \"rows\", unnest([7, 34])::INTEGER AS columns FROM dataset")
+add("prof_before_after", SPLIT, "SELECT 'before' AS dataset, count(*) AS \"rows\", 7::INTEGER AS columns FROM dataset "
+    "UNION ALL SELECT 'after', count(*), 35::INTEGER FROM split WHERE split = 'train'")
 add("prof_summary", SPLIT, """SELECT 'dataset' AS dataset, count(*) AS "rows", 7::INTEGER AS columns FROM dataset
   UNION ALL SELECT split, count(*), 8 FROM split GROUP BY split""")
 add("prof_encoded_counts", ENCODED, "SELECT error_type_encoded AS code, error_type AS label, count(*) AS n FROM encoded GROUP BY 1, 2")
@@ -539,7 +538,7 @@ add("bottom_words", VOCAB, "SELECT word, freq FROM vocab WHERE freq > 0 ORDER BY
 add("sample_without_replacement", f"{CANDIDATES}, {CHOSEN}", "SELECT word, freq, pick FROM chosen")
 add("shuffle_renumber", f"{PAIRS}, rows0 AS (SELECT 0 AS id, correct_word, incorrect_word FROM pairs)", shuffled("rows0"))
 add("set_union_samples", f"{ERRORS}, {CORRECT}", "SELECT * FROM errors UNION ALL SELECT * FROM correct")
-add("set_label_union", DATASET, "SELECT error_type FROM dataset UNION SELECT error_type FROM dataset")
+add("set_label_union", DATASET, "SELECT error_type FROM dataset WHERE error_type <> 'insertion' UNION SELECT error_type FROM dataset WHERE error_type IN ('insertion', 'correct')")
 add("set_word_unique", VOCAB, "SELECT DISTINCT word FROM vocab")
 
 # --- synthetic errors, features ------------------------------------------------------------------------------------------------
@@ -637,7 +636,8 @@ SQL["enc_export"] = SQL["sink_encoders"]
 add("scale_standard", RAW_ENCODED, "SELECT id, " + ", ".join(
     f"round(({f} - avg({f}) OVER ()) / CASE WHEN stddev_pop({f}) OVER () = 0 THEN 1 ELSE stddev_pop({f}) OVER () END, 6) AS {f}" for f in K.FEATURES) + " FROM encoded")
 add("split_group", SPLIT, "SELECT id, correct_word, split FROM split")
-add("split_no_leak_check", SPLIT, "SELECT correct_word, count(DISTINCT split) AS splits FROM split GROUP BY correct_word HAVING count(DISTINCT split) > 1")
+add("split_no_leak_check", SPLIT, "SELECT split, count(*) AS groups, count(*) FILTER (WHERE splits > 1) AS leaking FROM "
+    "(SELECT DISTINCT correct_word, split FROM split) JOIN (SELECT correct_word, count(DISTINCT split) AS splits FROM split GROUP BY correct_word) USING (correct_word) GROUP BY split")
 
 # --- weights, votes, evaluation ---------------------------------------------------------------------------------------------------
 
@@ -654,7 +654,8 @@ pairof AS (SELECT max(f1) FILTER (WHERE model = 'ensemble') AS e, max(f1) FILTER
 
 ONE = f"{PREDS}, one AS MATERIALIZED (SELECT * FROM preds WHERE model = 'noisy_rule')"
 add("ev_accuracy", ONE, "SELECT round(avg((label = prediction)::INTEGER), 6) AS accuracy FROM one")
-add("ev_confusion", ONE, "SELECT label, " + ", ".join(f"count(*) FILTER (WHERE prediction = {q(c)}) AS {c}" for c in CLASSES) + " FROM one GROUP BY label")
+add("ev_confusion", ONE, "SELECT label, " + ", ".join(f"count(*) FILTER (WHERE prediction = {q(c)}) AS {c}" for c in CLASSES)
+    + f", count(*) FILTER (WHERE prediction NOT IN {in_list(CLASSES)}) AS other FROM one GROUP BY label")
 add("ev_confusion_norm", ONE, "SELECT label, prediction, round(count(*)::DOUBLE / any_value(t), 6) AS share FROM one JOIN (SELECT label, count(*) AS t FROM one GROUP BY label) USING (label) GROUP BY label, prediction")
 add("ev_per_class", ONE, f"SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM ({per_class('one')})")
 add("ev_macro_weighted", f"{ONE}, pc AS ({per_class('one')})", """SELECT 'macro' AS average, round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall, round(avg(f1), 6) AS f1 FROM pc
@@ -699,6 +700,9 @@ add("cor_sentence", CHECKED, _CHECKED)
 # --- streaming ----------------------------------------------------------------------------------------------------------------------
 
 SQL["st_word_count"] = SQL["agg_word_count"]
+# All files arrive in one batch here.
+add("st_snapshot", VOCAB, f"SELECT 0::INTEGER AS batch_id, word, freq FROM vocab WHERE freq >= {K.SNAPSHOT_MIN_FREQ}")
+add("ml_load_xy", f"{ENCODED}, {GROUPS}", f"SELECT id, split, error_type_encoded::DOUBLE AS label, {len(K.FEATURES)}::INTEGER AS features FROM encoded JOIN (SELECT id, split FROM split) USING (id)")
 SQL["st_correct"] = SQL["cor_sentence"]
 add("st_snapshot_blocks", f"""{ARTICLES}, {accepted('articles')},
 numbered AS MATERIALIZED (SELECT words, row_number() OVER (ORDER BY doc_id) AS n FROM accepted),

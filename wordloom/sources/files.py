@@ -10,7 +10,7 @@ from wordloom.staging import fresh_path
 
 PAGE_SCHEMA = (
     "id BIGINT, title STRING, text STRUCT<_VALUE: STRING>, "
-    "revision STRUCT<text: STRUCT<_VALUE: STRING>>, _bad STRING"
+    "revision ARRAY<STRUCT<text: STRUCT<_VALUE: STRING>>>, _bad STRING"
 )
 DATASET_SCHEMA = (
     "id BIGINT, correct_word STRING, incorrect_word STRING, error_type STRING, "
@@ -19,9 +19,9 @@ DATASET_SCHEMA = (
 
 
 def read_wiki_xml(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, title, text) of the ``page`` elements, any namespace, bad pages dropped.
+    """(doc_id, title, text) of the ``page`` elements, any namespace.
 
-    Files are split at row tags. The text may sit in the page or in its revision.
+    Files are split at row tags. The text may sit in the page or in its first revision. A damaged page is dropped.
     """
     pages = (
         spark.read.schema(PAGE_SCHEMA).format("xml")
@@ -30,7 +30,7 @@ def read_wiki_xml(spark: SparkSession, path: str) -> DataFrame:
         .option("ignoreSurroundingSpaces", "false")
         .load(path)
     )
-    body = F.coalesce(F.col("revision.text._VALUE"), F.col("text._VALUE"))
+    body = F.coalesce(F.get(F.col("revision.text._VALUE"), 0), F.col("text._VALUE"))
     return pages.where(F.col("_bad").isNull()).select(
         F.col("id").alias("doc_id"), "title", body.alias("text")
     )
