@@ -5,7 +5,7 @@ from urllib.parse import urlparse
 
 from pyspark.sql import functions as F
 
-from wordloom.operators import corpus, evaluate as ev, models
+from wordloom.operators import correct, corpus, evaluate as ev, models
 from wordloom.plans import inputs
 from wordloom.sources import files, tables
 from wordloom.staging import fresh_path
@@ -37,6 +37,18 @@ def test_training_flow(spark, sf):
     typed = {r.incorrect_word: r for r in models.error_types(pairs, typer).collect()}
     assert typed["woould"].error_type == "insertion" and typed["wuld"].error_type == "deletion"
     assert abs(sum(typed["wuld"].probabilities.values()) - 1) < 1e-9
+    # A saved bundle types alike, and corrections carry the types.
+    typer.save(f"{path}/typer")
+    loaded = models.ErrorTyper.load(spark, f"{path}/typer")
+    assert {r.incorrect_word: r.error_type for r in models.error_types(pairs, loaded).collect()} == {k: r.error_type for k, r in typed.items()}
+    known = spark.createDataFrame([("would", 900), ("go", 500)], "word string, freq bigint")
+    asked = spark.createDataFrame([("Woould",), ("go",), ("",)], "word string")
+    answers = {r.word: r for r in correct.check_words(asked, known, typer=loaded).collect()}
+    assert answers["Woould"].error_type == "insertion" and answers["Woould"].confidence > 0.25
+    assert answers["go"].error_type is None and answers[""].probabilities is None
+    said = spark.createDataFrame([(1, "I wuld go."), (2, "go")], "id int, sentence string")
+    lines = {r.id: r for r in correct.check_sentences(said, ["id"], known, typer=loaded).collect()}
+    assert lines[1].corrected_sentence == "I would go." and lines[1].errors[0].error_type == "deletion" and lines[2].errors == []
 
 
 def test_absent_class_gets_no_probability(spark, sf):

@@ -97,11 +97,23 @@ def find_corrections(
     return exact_rows(marked).unionByName(found)
 
 
+def with_error_types(rows: DataFrame, typer, right: str, wrong: str) -> DataFrame:
+    """Add ``error_type``, ``confidence`` and ``probabilities`` of each (right, wrong) pair; null without a pair."""
+    from wordloom.operators.models import error_types
+
+    pairs = rows.select(F.col(right).alias("correct_word"), F.col(wrong).alias("incorrect_word"))
+    typed = error_types(pairs.where("correct_word IS NOT NULL AND incorrect_word IS NOT NULL"), typer)
+    typed = stage(typed.withColumnsRenamed({"correct_word": "_right", "incorrect_word": "_wrong"}), "types")
+    return rows.join(typed, (F.col(right) == F.col("_right")) & (F.col(wrong) == F.col("_wrong")), "left").drop("_right", "_wrong")
+
+
 def check_words(
-    requests: DataFrame, dictionary: DataFrame, top_n: int = K.TOP_CORRECTIONS, keys: DataFrame | None = None
+    requests: DataFrame, dictionary: DataFrame, top_n: int = K.TOP_CORRECTIONS, keys: DataFrame | None = None, typer=None
 ) -> DataFrame:
     """(word, status, is_correct, corrections) per distinct requested word.
 
+    With ``typer``, an ``ErrorTyper``, also ``error_type``, ``confidence`` and ``probabilities`` of the best correction.
+
     ``corrections`` is empty for known words and for words without candidates;
     blank requests yield ``status='empty'`` and nulls.
     """
@@ -123,9 +135,13 @@ def check_words(
         F.lit(None).cast("boolean").alias("is_correct"),
         F.lit(None).cast(answered.schema["corrections"].dataType).alias("corrections"),
     )
-    return answered.select(
+    checked = answered.select(
         F.col("query").alias("word"), F.lit("ok").alias("status"), "is_correct", "corrections"
     ).unionByName(blank)
+    if typer is None:
+        return checked
+    sides = checked.withColumn("_best", F.get("corrections", F.lit(0))["word"]).withColumn("_lower", F.lower("word"))
+    return with_error_types(sides, typer, "_best", "_lower").drop("_best", "_lower")
 
 
 def in_case_of(token: Column, correction: Column) -> Column:
@@ -182,14 +198,20 @@ def _patched(tokens: Column, errors: Column) -> Column:
 
 def check_sentences(
     sentences: DataFrame, ids: list[str], dictionary: DataFrame,
-    keys: DataFrame | None = None, preserve_apostrophe: bool = False,
+    keys: DataFrame | None = None, preserve_apostrophe: bool = False, typer=None,
 ) -> DataFrame:
-    """(ids, status, original_sentence, corrected_sentence, has_errors, num_errors, errors)."""
+    """(ids, status, original_sentence, corrected_sentence, has_errors, num_errors, errors).
+
+    With ``typer``, an ``ErrorTyper``, each error also has its ``error_type`` and ``confidence``.
+    """
     stripped = sentences.select(*ids, tx.strip(F.col("sentence")).alias("sentence"))
     errors = sentence_errors(stripped, ids, dictionary, keys, preserve_apostrophe)
+    more = ["error_type", "confidence"] if typer is not None else []
+    if typer is not None:
+        errors = with_error_types(errors, typer, "best", "lower").drop("probabilities")
     per_sentence = errors.groupBy(*ids).agg(
         F.sort_array(
-            F.collect_list(F.struct("token_index", "original", "correction", "distance"))
+            F.collect_list(F.struct("token_index", "original", "correction", "distance", *more))
         ).alias("_errors")
     )
     joined = stripped.join(per_sentence, ids, "left")
@@ -205,6 +227,7 @@ def check_sentences(
                 e["distance"].alias("distance"),
                 (F.call_function("instr", low, F.lower(e["original"])) - 1).alias("position"),
                 e["token_index"].alias("token_index"),
+                *[e[c].alias(c) for c in more],
             ),
         ),
     )
@@ -218,6 +241,7 @@ def check_sentences(
         (count > 0).alias("has_errors"),
         count.alias("num_errors"),
         F.when(filled, F.coalesce(located, F.array().cast(
-            "array<struct<original:string,correction:string,distance:int,position:int,token_index:int>>"
+            "array<struct<original:string,correction:string,distance:int,position:int,token_index:int"
+            + (",error_type:string,confidence:double" if more else "") + ">>"
         ))).alias("errors"),
     )

@@ -313,6 +313,16 @@ class ErrorTyper:
     def __init__(self, model, encoders: DataFrame, scaler: DataFrame):
         self.model, self.encoders, self.scaler = model, encoders, scaler
 
+    def save(self, path: str) -> None:
+        """Everything under one folder; an older bundle there is replaced."""
+        save_model(self.model, f"{path}/model")
+        self.encoders.write.mode("overwrite").parquet(f"{path}/encoders")
+        self.scaler.write.mode("overwrite").parquet(f"{path}/scaler")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> ErrorTyper:
+        return cls(load_model(f"{path}/model"), spark.read.parquet(f"{path}/encoders"), spark.read.parquet(f"{path}/scaler"))
+
 
 def train_error_typer(prepared: DataFrame, encoders: DataFrame, scaler: DataFrame, classes: int, preset: str = "wide") -> ErrorTyper:
     return ErrorTyper(train_boost_fixed(load_xy(prepared), classes, preset), encoders, scaler)
