@@ -109,6 +109,13 @@ def test_odd_rows_and_empty_table(odd, empty):
     assert simhash.keep_one(odd.withColumnRenamed("lang", "label")).where("doc_id = 8").count() == 1
 
 
+def test_least_of_most(spark):
+    from wordloom.llm.common import least_of_most
+
+    df = spark.createDataFrame([(9,), (7,), (7,), (3,), (1,)], "n BIGINT")
+    assert [least_of_most(df, "n", k) for k in (0, 1, 2, 3, 4, 5, 9)] == [None, 9, 9, 7, 3, 1, 1]
+
+
 # --- lines --------------------------------------------------------------------------
 
 

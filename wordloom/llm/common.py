@@ -6,7 +6,7 @@ import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
@@ -50,6 +50,32 @@ def nested(df: DataFrame, gone: Iterable[str] = ()) -> Column:
     return F.struct(*([F.col(f"`{c}`") for c in without(df, gone)] or [F.lit(0).alias("none")]))
 
 
+def least_of_most(df: DataFrame, value: str, most: int) -> int | None:
+    """The smallest ``value`` (whole numbers) that at most ``most`` rows reach; null if there is none.
+
+    Rows are counted by value first, so one task orders the distinct values only. Counts of things that
+    total N have at most sqrt(2 N) distinct values. Rows equal to the first value beyond are left out together.
+    """
+    counts = df.groupBy(value).agg(F.count("*").alias("rows"))
+    reached = counts.select(value, F.sum("rows").over(Window.orderBy(F.desc(value))).alias("reached"))
+    return reached.where(F.col("reached") <= most).agg(F.min(value)).first()[0]
+
+
+#: Buckets of a broadcast key filter; its size does not grow with the data.
+FILTER_BUCKETS = 1 << 20
+
+
+def may_hold(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """Add ``maybe``: false for rows whose ``key`` (BIGINT) is surely not in ``keys`` (key).
+
+    Keys are hashed to a fixed number of buckets and the buckets are broadcast, at most ``FILTER_BUCKETS`` rows,
+    so that rows that need no join are not shuffled for it. More keys mean more rows that may match.
+    """
+    buckets = keys.select(F.pmod("key", F.lit(FILTER_BUCKETS)).alias("bucket")).distinct().withColumn("maybe", F.lit(True))
+    marked = df.withColumn("bucket", F.pmod(key, F.lit(FILTER_BUCKETS))).join(F.broadcast(buckets), "bucket", "left")
+    return marked.withColumn("maybe", F.coalesce("maybe", F.lit(False))).drop("bucket")
+
+
 def add_columns(
     df: DataFrame, inputs: Sequence[str], fields: str, start: Callable[[], Callable[..., Sequence[Sequence]]]
 ) -> DataFrame:

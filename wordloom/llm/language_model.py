@@ -37,7 +37,7 @@ import sentencepiece
 from public_tokenizers import path as public_path
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wordloom.llm.common import documents, fold_text, words_of
+from wordloom.llm.common import documents, fold_text, least_of_most, words_of
 from wordloom.staging import stage
 
 #: Bounds: broadcast words, classes besides "other", distinct words that a task counts before it hands them on.
@@ -252,8 +252,9 @@ def score_documents(
     ).first().asDict()
     model = Model(Lattice(path, *_piece_counts(words.where(c > 0), path), totals["types"]), k, totals, ends)
     lexicon = stage(_lexicon(words, model), "lm-lexicon")
-    hot_rows = lexicon.orderBy(F.desc("n"), "word").limit(HOT_WORDS).toArrow()
-    least = hot_rows["n"][-1].as_py() if hot_rows.num_rows == HOT_WORDS else 0
+    least = least_of_most(lexicon, "n", HOT_WORDS)
+    is_hot = F.lit(False) if least is None else F.col("n") >= least
+    hot_rows = lexicon.where(is_hot).toArrow()
     columns = [hot_rows["base"].to_numpy(), (hot_rows["c"].to_numpy() > 0).astype(float), *(hot_rows[f"p{i}"].to_numpy() for i in range(k))]
     table = np.stack(columns, axis=1)
     hot_words = hot_rows["word"].to_pylist()
@@ -286,7 +287,7 @@ def score_documents(
     )
     rest = (
         first.select("row", F.explode("cold").alias("word"))
-        .join(lexicon.where(F.col("n") <= least).select("word", "base", (F.col("c") > 0).cast("double").alias("known"), *names[2:]), "word")
+        .join(lexicon.where(~is_hot).select("word", "base", (F.col("c") > 0).cast("double").alias("known"), *names[2:]), "word")
         .groupBy("row").agg(*[F.sum(x).alias(f"more_{x}") for x in names])
     )
     end = model.log10(np.zeros(1), model.ends[None, :])[0]

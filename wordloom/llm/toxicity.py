@@ -35,7 +35,7 @@ from dataclasses import dataclass
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wordloom.llm.common import BoundedCache, add_columns, documents
+from wordloom.llm.common import BoundedCache, add_columns, documents, least_of_most
 from wordloom.sources import tables
 from wordloom.staging import stage
 
@@ -146,8 +146,9 @@ def _z(toxic: Column, clean: Column, share: float) -> Column:
 
 def _significant(counts: DataFrame, share: float) -> list:
     z = _z(F.col("toxic"), F.col("clean"), share)
-    rows = counts.where(F.col("toxic") >= MIN_DOCS).withColumn("z", z).where(F.col("z") >= MIN_Z)
-    return rows.orderBy(F.desc("z"), "word").limit(MODEL_TOKENS).collect()
+    rows = counts.where(F.col("toxic") >= MIN_DOCS).withColumn("z", F.floor(z * 100)).where(F.col("z") >= MIN_Z * 100)
+    least = least_of_most(rows, "z", MODEL_TOKENS)
+    return [] if least is None else rows.where(F.col("z") >= least).collect()
 
 
 def _fit_log_odds(words: DataFrame, share: float) -> tuple[dict[str, float], list[tuple[float, int]]]:
