@@ -104,11 +104,8 @@ def _(spark, sf):
 
 @query("sink_splits")
 def _(spark, sf):
-    rows = prepare.split_by_group(inputs.dataset(spark, sf)).select("id", "correct_word", "split")
-    return files.round_trip(
-        rows, "splits", files.write_splits,
-        lambda s, p: s.read.schema("id BIGINT, correct_word STRING, split STRING").parquet(p),
-    )
+    rows = prepare.split_by_group(inputs.encoded(spark, sf)[0])
+    return files.round_trip(rows, "splits", files.write_splits, lambda s, p: files.read_splits(s, p, rows))
 
 
 @query("sink_encoders")

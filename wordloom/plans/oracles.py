@@ -419,7 +419,7 @@ add("src_dataset_csv", DATASET, "SELECT * FROM dataset")
 add("sink_vocab_thresholds", VOCAB, "SELECT word, freq, min_freq FROM vocab JOIN (SELECT unnest([5, 10, 20, 50])::INTEGER AS min_freq) ON freq >= min_freq")
 add("sink_dictionary", VOCAB, f"SELECT word FROM vocab ORDER BY freq DESC, word LIMIT {K.DICTIONARY_SIZE}")
 add("sink_dataset", DATASET, "SELECT * FROM dataset ORDER BY id LIMIT 100")
-add("sink_splits", SPLIT, "SELECT id, correct_word, split FROM split")
+add("sink_splits", f"{ENCODED}, {GROUPS}", "SELECT e.*, s.split FROM encoded e JOIN split s USING (id)")
 add("sink_encoders", FEATURED, " UNION ALL ".join(
     f"SELECT DISTINCT {q(c)} AS \"column\", {c} AS label, (dense_rank() OVER (ORDER BY {c}) - 1)::INTEGER AS code FROM featured" for c in ENCODED_COLUMNS))
 add("sink_results", PREDS, f"SELECT model, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM ({metrics('preds')})")

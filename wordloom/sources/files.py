@@ -97,7 +97,13 @@ def write_dictionary(vocab: DataFrame, path: str, n: int = K.DICTIONARY_SIZE) ->
 
 
 def write_splits(df: DataFrame, path: str) -> None:
-    df.write.partitionBy("split").parquet(path)
+    """Full rows, one partition folder per split, and the ordered list of training features beside them."""
+    df.write.partitionBy("split").parquet(f"{path}/rows")
+    write_feature_list(df.sparkSession, f"{path}/feature_list")
+
+
+def read_splits(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    return spark.read.schema(like.schema).parquet(f"{path}/rows").select(*like.columns)
 
 
 def write_feature_list(spark: SparkSession, path: str) -> None:
