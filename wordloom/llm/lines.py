@@ -10,6 +10,7 @@
 4. Documents probe the arrays. The at most ``HOT_KEYS`` most frequent keys form
    one shard that is broadcast and probed where the documents are; no other key has more than
    1/HOT_KEYS of all lines, so the probes sent to the other shards are even.
+5. Only texts that may lose a line are shuffled to meet their line numbers; the others pass through the scan.
 
 Defined results: a null or empty text is one empty line; a document is an id, so rows that repeat an id count
 once for a line; a row with a null id counts for nothing and is never the holder; lines without
@@ -26,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordloom.llm.common import add_columns, documents, nested, without
+from wordloom.llm.common import add_columns, documents, least_of_most, may_hold, nested, without
 from wordloom.staging import stage
 
 #: Least code points of a counted key, least documents that make its lines go.
@@ -192,7 +193,9 @@ def surplus_lines(hashed: DataFrame, counts: DataFrame, min_docs: int = MIN_DOCS
     spark = hashed.sparkSession
     n_keys = counts.count()
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_keys // SHARD_KEYS))
-    hot_rows = counts.where(F.col("n") >= HOT_DOCS).orderBy(F.desc("n"), "one", "two").limit(HOT_KEYS).toArrow()
+    often = counts.where(F.col("n") >= HOT_DOCS)
+    least = least_of_most(often, "n", HOT_KEYS)
+    hot_rows = often.where(F.lit(False) if least is None else F.col("n") >= least).toArrow()
     hot = spark.sparkContext.broadcast(
         Shard.build(
             _unsigned(hot_rows["one"]), _unsigned(hot_rows["two"]), hot_rows["n"].to_numpy(), hot_rows["last"].to_numpy()
@@ -252,10 +255,12 @@ def dedup_lines(
     hashed = stage(hash_lines(df, id, text, min_chars), "line-hashes")
     counts = stage(line_counts(hashed), "line-counts")
     gone = surplus_lines(hashed, counts, min_docs).groupBy("id", "row_key").agg(F.collect_list("place").alias("gone"))
-    gone = gone.select(F.col("id").alias("gone_id"), "row_key", "gone")
+    gone = stage(gone.select(F.col("id").alias("gone_id"), "row_key", "gone"), "surplus-lines")
     slim = df.select(nested(df, [text, "n_lines", "n_dropped"]).alias("row"), F.col(id).alias("id"), F.col(text).alias("text"))
-    key = F.xxhash64(F.coalesce("text", F.lit("")))
-    joined = slim.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (key == F.col("row_key")), "left").select("row", "text", "gone")
+    marked = may_hold(slim.withColumn("key", F.xxhash64(F.coalesce("text", F.lit("")))), F.col("key"), gone.select(F.col("row_key").alias("key")))
+    found = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("key") == F.col("row_key"))
+    joined = marked.where("maybe").join(gone, found, "left").select("row", "text", "gone")
+    joined = joined.unionByName(marked.where("NOT maybe").select("row", "text", F.lit(None).cast("array<int>").alias("gone")))
 
     def start():
         def work(texts, drops):

@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordloom.llm.common import add_columns, documents, fold_text, nested, words_of
+from wordloom.llm.common import add_columns, documents, fold_text, may_hold, nested, words_of
 from wordloom.llm.components import components
 from wordloom.staging import stage
 
@@ -193,17 +193,30 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", shing
 
 
 def keep_one(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, budget: int = BUDGET) -> DataFrame:
-    """The rows of ``df`` less near-duplicates: of each component the first row of the smallest id stays."""
-    packed = df.select(nested(df).alias("row"), F.col(id).alias("_id"), F.col(text).alias("text"))
-    marked = fingerprints(packed, "text", shingle).drop("text").withColumn("_row", F.monotonically_increasing_id())
-    marked = stage(marked, "fingerprinted")  # fixes the row numbers
-    slim = marked.select("_id", "fp", "_row")
+    """The rows of ``df`` less near-duplicates: of each component one row of the smallest id stays.
+
+    Only texts that may have a duplicate are shuffled; all others pass through the scan.
+    """
+    packed = df.select(
+        nested(df).alias("row"), F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
+    ).withColumn("key", F.xxhash64("text"))
+    slim = stage(fingerprints(packed.select("id", "text", "key"), "text", shingle).select(F.col("id").alias("_id"), "key", "fp"), "fingerprints")
     labels = _components(slim, budget).select("fp", "label")
-    first = F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row"))).alias("first")
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("key"))).alias("first")
     # Exact copies meet their label as one row, so that no label gathers them.
-    stays = slim.groupBy("fp").agg(first).join(labels, "fp").groupBy("label").agg(F.min("first").alias("first"))
-    stays = stage(stays.select(F.col("first._row").alias("_row")), "kept-rows")
-    return marked.join(stays, "_row", "left_semi").select("row.*")
+    of_print = stage(slim.groupBy("fp").agg(first, F.count("*").alias("n")).join(labels, "fp"), "fingerprint-firsts")
+    of_label = of_print.groupBy("label").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1")
+    groups = stage(of_label.select("label", F.col("first.id").alias("id"), F.col("first.key").alias("key")), "duplicate-groups")
+    in_groups = of_print.select("fp", "label").join(groups.select("label"), "label", "left_semi").select("fp")
+    several = stage(slim.join(in_groups, "fp", "left_semi").select(F.col("_id").alias("first_id"), F.col("key").alias("first_key")).distinct(), "duplicate-keys")
+    same = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key"))
+    marked = may_hold(packed.drop("text"), F.col("key"), several.select(F.col("first_key").alias("key")))
+    alone = marked.where(~F.col("maybe")).select("row")
+    rest = marked.where("maybe")
+    outside = rest.join(several, same, "left_anti").select("row")
+    # Rows that repeat an id and a text are one after partial aggregation.
+    firsts = rest.join(groups.select(F.col("id").alias("first_id"), F.col("key").alias("first_key")), same, "left_semi")
+    return alone.unionByName(outside).unionByName(firsts.groupBy("id", "key").agg(F.first("row").alias("row")).select("row")).select("row.*")
 
 
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
