@@ -208,15 +208,20 @@ def keep_one(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int
     of_label = of_print.groupBy("label").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1")
     groups = stage(of_label.select("label", F.col("first.id").alias("id"), F.col("first.key").alias("key")), "duplicate-groups")
     in_groups = of_print.select("fp", "label").join(groups.select("label"), "label", "left_semi").select("fp")
-    several = stage(slim.join(in_groups, "fp", "left_semi").select(F.col("_id").alias("first_id"), F.col("key").alias("first_key")).distinct(), "duplicate-keys")
-    same = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key"))
-    marked = may_hold(packed.drop("text"), F.col("key"), several.select(F.col("first_key").alias("key")))
-    alone = marked.where(~F.col("maybe")).select("row")
-    rest = marked.where("maybe")
-    outside = rest.join(several, same, "left_anti").select("row")
+    members = slim.join(in_groups, "fp", "left_semi").groupBy("_id", "key").agg(F.count("*").alias("copies"))
+    firsts = groups.select(F.col("id").alias("first_id"), F.col("key").alias("first_key"))
+    is_first = F.col("_id").eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key"))
+    several = members.join(firsts, is_first, "left").select(
+        F.col("_id").alias("member_id"), F.col("key").alias("member_key"), F.col("first_key").isNotNull().alias("stays"), "copies"
+    )
+    several = stage(several, "duplicate-keys")
+    marked = may_hold(packed.drop("text"), F.col("key"), several.select(F.col("member_key").alias("key")))
+    member = F.col("id").eqNullSafe(F.col("member_id")) & (F.col("key") == F.col("member_key"))
+    rest = marked.where("maybe").join(several, member, "left").where("member_key IS NULL OR stays")
+    once = rest.where("member_key IS NULL OR copies = 1").select("row")
     # Rows that repeat an id and a text are one after partial aggregation.
-    firsts = rest.join(groups.select(F.col("id").alias("first_id"), F.col("key").alias("first_key")), same, "left_semi")
-    return alone.unionByName(outside).unionByName(firsts.groupBy("id", "key").agg(F.first("row").alias("row")).select("row")).select("row.*")
+    again = rest.where("copies > 1").groupBy("id", "key").agg(F.first("row").alias("row")).select("row")
+    return marked.where("NOT maybe").select("row").unionByName(once).unionByName(again).select("row.*")
 
 
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
