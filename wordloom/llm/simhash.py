@@ -197,11 +197,20 @@ def keep_one(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int
 
     Only texts that may have a duplicate are shuffled; all others pass through the scan.
     """
-    packed = df.select(
+    packed = packed_rows(df, id, text)
+    slim = stage(fingerprints(packed.select("id", "text", "key"), "text", shingle).select(F.col("id").alias("_id"), "key", "fp"), "fingerprints")
+    return one_of_each(packed, slim, _components(slim, budget).select("fp", "label"))
+
+
+def packed_rows(df: DataFrame, id: str, text: str) -> DataFrame:
+    """(row, id, text, key): whole rows, nulls as empty texts, and the hash of the text."""
+    return df.select(
         nested(df).alias("row"), F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
     ).withColumn("key", F.xxhash64("text"))
-    slim = stage(fingerprints(packed.select("id", "text", "key"), "text", shingle).select(F.col("id").alias("_id"), "key", "fp"), "fingerprints")
-    labels = _components(slim, budget).select("fp", "label")
+
+
+def one_of_each(packed: DataFrame, slim: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``packed`` less all but one of each label; ``slim`` has (_id, key, fp) of every row, ``labels`` (fp, label)."""
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("key"))).alias("first")
     # Exact copies meet their label as one row, so that no label gathers them.
     of_print = stage(slim.groupBy("fp").agg(first, F.count("*").alias("n")).join(labels, "fp"), "fingerprint-firsts")
