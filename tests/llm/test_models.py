@@ -106,6 +106,35 @@ def test_known_words_and_rest_sum_to_one():
     assert (known.sum(axis=0) + unseen[0]).tolist() == pytest.approx([1, 1], abs=1e-9)
 
 
+def test_long_words_stay_in_log_space(spark):
+    from fractions import Fraction
+
+    draw = random.Random(2)
+    known, long = "known words", "".join(draw.choice("abcxyz0189+/") for _ in range(10_000))
+    model = lattice()
+    # Sums over all cuts by position as exact fractions.
+    at = [Fraction(0)] * 301
+    for j in range(0, 301):
+        if long[:j] in model.first and j <= model.longest:
+            at[j] += Fraction(math.exp(model.first[long[:j]]))
+    for i in range(300):
+        at[i + 1] += at[i] * Fraction(math.exp(model.bytes[ord(long[i])]))
+        for j in range(i + 1, min(300, i + model.longest) + 1):
+            if long[i:j] in model.later:
+                at[j] += at[i] * Fraction(math.exp(model.later[long[i:j]]))
+    exact = math.log(at[300].numerator) - math.log(at[300].denominator) + model.stop
+    assert exact < -690 and model.log_likelihood(long[:300]) == pytest.approx(exact, rel=1e-9)
+    totals = {"types": 3, "v": 3, "o": 1, "t": 1, "n0": 7, "v0": 3, "o0": 1, "t0": 1}
+    whole, log = lm.Model(model, 1, totals, [2]), model.log_likelihood(long)
+    d, n, v = whole.d[0], whole.n[0], whole.v[0]
+    left = d * v / n * (lm.OTHER_CLASSES * whole.all_d * whole.all_v / whole.all_n + 1 - lm.OTHER_CLASSES)
+    got = whole.log10_of_log(np.array([log]), np.zeros((1, 1)))[0, 0]
+    assert got == pytest.approx((log + math.log(left)) / math.log(10), rel=1e-12) and got < -5_000
+    docs = spark.createDataFrame([(1, known, "en"), (2, long, "en"), (3, long * 2, "en")], "doc_id BIGINT, text STRING, lang STRING")
+    scores = {r.doc_id: r.score for r in lm.score_documents(docs, held=docs.doc_id > 1).collect()}
+    assert scores[3] < 1.9 * scores[2] < -10_000
+
+
 # --- toxicity -------------------------------------------------------------------------
 
 

@@ -21,7 +21,7 @@ bound and no frequent word is shuffled.
 
 Defined results: a null text is the empty text, one end token; a null id is never held out; a null or rare language
 belongs to the class "other"; every row is scored, also repeated ones; without training
-documents the lattice alone, with the vocabulary's scores, is the model.
+documents the lattice alone, with the vocabulary's scores, is the model, and the end of a text costs nothing.
 """
 
 from __future__ import annotations
@@ -68,6 +68,9 @@ class Lattice:
         control = np.array([model.is_control(i) or model.is_unknown(i) for i in range(size)])
         begins = np.array([n.startswith(_BEGIN) for n in names]) & ~control
         within = ~begins & ~control
+        # The bare mark leads every word that no longer piece begins; without a weight such words would be impossible.
+        bare = np.array([n == _BEGIN for n in names])
+        prior[bare] = np.maximum(prior[bare], prior[begins & (prior > 0)].min(initial=1.0))
         stop = words + PRIOR_PIECES / 4
         self.first, self.later, self.bytes = {}, {}, {}
         for chosen, counts, extra in ((begins, first, 0.0), (within, later, stop)):
@@ -168,8 +171,16 @@ def _piece_counts(words: DataFrame, path: str) -> tuple[np.ndarray, np.ndarray]:
     return sums[0], sums[1]
 
 
+def _log(x: np.ndarray | float) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        return np.log(x)
+
+
 def _discounted(counts: np.ndarray, total: float, types: float, d: float, wider: np.ndarray) -> np.ndarray:
-    return np.maximum(counts - d, 0) / total + d * types / total * wider if total else wider
+    """Log of the discounted counts' share plus what they leave to ``wider``, also a log."""
+    if not total:
+        return wider
+    return np.logaddexp(_log(np.maximum(counts - d, 0) / total), _log(d * types / total) + wider)
 
 
 def _discount(n1: float, n2: float) -> float:
@@ -190,10 +201,14 @@ class Model:
 
     def log10(self, likelihood: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Rows of log10 P(word | class) from L(word) and counts by class."""
+        return self.log10_of_log(_log(likelihood), counts)
+
+    def log10_of_log(self, likelihood: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The same from log L(word); nothing leaves log space, so no word is too long."""
         wide = _discounted(counts.sum(axis=1), self.all_n, self.all_v, self.all_d, likelihood)
-        wide = OTHER_CLASSES * wide + (1 - OTHER_CLASSES) * likelihood
+        wide = np.logaddexp(math.log(OTHER_CLASSES) + wide, math.log(1 - OTHER_CLASSES) + likelihood)
         by_class = [_discounted(counts[:, i], self.n[i], self.v[i], self.d[i], wide) for i in range(self.classes)]
-        return np.log10(np.maximum(np.stack(by_class, axis=1), 1e-300))
+        return np.stack(by_class, axis=1) / math.log(10)
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 1) / (self.all_n + 1 * (self.all_v + 1)))
@@ -211,15 +226,15 @@ def _lexicon(words: DataFrame, model: Model) -> DataFrame:
             for at in range(0, whole.num_rows, 5_000):
                 b = whole.slice(at, 5_000)
                 counts = np.stack([b.column(2 + i).to_numpy() for i in range(k)], axis=1).astype(float)
-                likelihood = np.exp([max(of(w), -690.0) for w in b.column(0).to_pylist()])
-                p = model.log10(likelihood, counts)
+                likelihood = np.array([of(w) for w in b.column(0).to_pylist()])
+                p = model.log10_of_log(likelihood, counts)
                 c = counts.sum(axis=1)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), pa.array(c.astype(np.int64)), pa.array(model.base(c)), *(pa.array(p[:, i].astype(np.float32)) for i in range(k))],
+                    [b.column(0), b.column(1), pa.array(c.astype(np.int64)), pa.array(model.base(c)), *(pa.array(p[:, i]) for i in range(k))],
                     names=["word", "n", "c", "base", *(f"p{i}" for i in range(k))],
                 )
 
-    return words.mapInArrow(weigh, "word STRING, n BIGINT, c BIGINT, base DOUBLE, " + ", ".join(f"p{i} FLOAT" for i in range(k)))
+    return words.mapInArrow(weigh, "word STRING, n BIGINT, c BIGINT, base DOUBLE, " + ", ".join(f"p{i} DOUBLE" for i in range(k)))
 
 
 def score_documents(
@@ -290,7 +305,7 @@ def score_documents(
         .join(lexicon.where(~is_hot).select("word", "base", (F.col("c") > 0).cast("double").alias("known"), *names[2:]), "word")
         .groupBy("row").agg(*[F.sum(x).alias(f"more_{x}") for x in names])
     )
-    end = model.log10(np.zeros(1), model.ends[None, :])[0]
+    end = model.log10(np.zeros(1), model.ends[None, :])[0] if trained else np.zeros(k)
     prior = np.log10((model.ends + 1) / (model.ends.sum() + k))
     both = first.drop("cold").join(rest, "row", "left")
     total = {x: F.col(x) + F.coalesce(F.col(f"more_{x}"), F.lit(0.0)) for x in names}
