@@ -39,6 +39,19 @@ def words_of(text: str) -> list[str]:
     return re.findall(WORD, text) if _OTHER_SPACE.search(text) else text.split()
 
 
+#: Longest part of a text whose words are held as objects at once.
+PIECE = 1 << 20
+
+
+def pieces(data: bytes, size: int = PIECE) -> Iterator[bytes]:
+    """``data`` cut at blanks into parts of about ``size`` bytes, so that no word is cut."""
+    at = 0
+    while len(data) - at > size and (end := data.find(b" ", at + size)) >= 0:
+        yield data[at:end]
+        at = end
+    yield data[at:]
+
+
 def without(df: DataFrame, names: Iterable[str]) -> list[str]:
     """Columns of ``df`` apart from ``names``; names are compared as Spark does, without case."""
     gone = {n.lower() for n in names}
