@@ -10,9 +10,13 @@ set of n elements costs about max(n, REGISTERS * ln REGISTERS) draws. All elemen
 Sets that are equal are one node. ``BANDS`` keys of ``ROWS`` registers propose nodes; a pair of similarity 0.8 shares
 no key with probability (1 - 0.8^ROWS)^BANDS = 1.3e-7. The nodes of a key are resolved exactly, without all their pairs:
 
-1. Each is compared with the key's center, its node with most copies. Linked ones are grouped by union-find.
-2. What is left are pairs of different groups. A node outside the center's group is compared with the other nodes of the
-   key unless sizes, or distances to the center, rule a link out (Jaccard distance obeys the triangle inequality).
+1. Each is compared with the key's center, its node that shares keys with most nodes. Linked ones are grouped by union-find.
+2. What is left are pairs of different groups around one center, one of which is not linked to it. A node is then described by
+   its differences: the shingles that it lacks of the center's, and those that it has besides. Two nodes that are linked share more
+   differences than the second node's own cost, (100 lacking + percent * besides) / (100 + percent), which is about half of its
+   differences, and at least as many as the first node's cost exceeds what a link to the center allows. So they share one of the
+   second node's rarest differences and one of the first's (prefix filter), and are joined by those: edits that two copies have made
+   alike. Copies edited apart never meet, however many there are.
 
 Every comparison uses both whole sets. Tasks merge their links by union-find, so that at most one link per node leaves
 a task; the forests are then merged over all tasks by ``components``.
@@ -29,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from wordloom.llm.common import LOWER, SLICE_ROWS, UPPER, documents, may_hold, pieces
 from wordloom.llm.components import components
@@ -209,39 +213,56 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                        F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("common"))
 
 
-def _first_links(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members with ``center``, comparisons of centers (a) with the other members (b) of their keys)."""
-    center = F.max(F.struct("copies", "fp"))["fp"].alias("center")
-    centered = stage(members.join(members.groupBy("band").agg(center), "band"), "minhash-centered")
-    pairs = stage(centered.where("fp <> center").select(F.col("center").alias("a"), F.col("fp").alias("b")).distinct(), "minhash-pairs")
-    return centered, stage(compare(pairs, sets), "minhash-compared")
+def _compared(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Comparisons of centers (a) with the other members (b) of their keys (band, fp, nodes of the key).
+
+    The center of a key is the node that shares keys with most nodes: the one closest to what a group of copies has in common.
+    """
+    degree = stage(members.groupBy("fp").agg(F.sum("nodes").alias("degree")), "minhash-degrees")
+    known = members.select("band", "fp").join(degree, "fp")
+    center = F.max(F.struct("degree", "fp"))["fp"].alias("center")
+    centers = stage(known.groupBy("band").agg(center), "minhash-centers")
+    centered = members.select("band", "fp").join(centers, "band").where("fp <> center")
+    pairs = stage(centered.select(F.col("center").alias("a"), F.col("fp").alias("b")).distinct(), "minhash-pairs")
+    return stage(compare(pairs, sets), "minhash-compared")
 
 
-def _open_pairs(centered: DataFrame, seen: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs that share a key, lie in different groups so far and may be linked."""
-    far = 1 - percent / 100 + 1e-9
-    distance = (1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("distance")
-    to_center = seen.select(F.col("a").alias("center"), F.col("b").alias("fp"), distance)
+def _open_pairs(seen: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs with a common center, of different groups so far, that share enough rare differences to it to be linked."""
     label = labels.select(F.col("node").alias("fp"), "label")
-    labelled = centered.join(label, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    near = seen.select(F.col("a").alias("center"), F.col("b").alias("fp"), (F.col("n_a") - F.col("common")).alias("lacking"),
+                       (F.col("n_b") - F.col("common")).alias("besides"), F.col("n_a").alias("size"))
+    near = near.join(label, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     center_label = label.select(F.col("fp").alias("center"), F.col("label").alias("center_label"))
-    labelled = labelled.join(center_label, "center", "left").withColumn("center_label", F.coalesce("center_label", "center"))
-    labelled = stage(labelled, "minhash-labelled")
-    # Settled keys hold one group, or nothing but the center and one more node.
-    open_keys = labelled.where("label <> center_label").groupBy("band").agg(F.count("*").alias("outside"))
-    sizes = labelled.groupBy("band").agg(F.count("*").alias("all"))
-    open_keys = open_keys.join(sizes, "band").where("all > 2").select("band")
-    rest = labelled.where("fp <> center").join(open_keys, "band", "left_semi").join(to_center, ["center", "fp"])
-    rest = stage(rest.select("band", "fp", "n", "label", (F.col("label") == F.col("center_label")).alias("inner"), "distance"), "minhash-open")
-    x, y = rest.where("NOT inner").alias("x"), rest.alias("y")
+    near = near.join(center_label, "center", "left").withColumn("inner", F.col("label") == F.coalesce("center_label", "center"))
+    near = stage(near.drop("center_label"), "minhash-near")
+    # Settled centers have one group around them, or one node.
+    open_centers = near.groupBy("center").agg(F.count("*").alias("nodes"), F.count_if(~F.col("inner")).alias("outside"))
+    rest = near.join(open_centers.where("nodes > 1 AND outside > 0").select("center"), "center", "left_semi")
+
+    cost = (100 * F.col("lacking") + percent * F.col("besides")) / (100 + percent)
+    allowed = F.col("size") * (100 - percent) / (100 + percent)
+    rest = rest.select("center", "fp", "label", "inner", (F.col("lacking") + F.col("besides")).alias("all"), cost.alias("cost"), allowed.alias("allowed"))
+    left, right = (sets.select(F.col("fp").alias(x), F.col("grams").alias(f"grams_{x}")) for x in ("center", "fp"))
+    both = rest.join(right, "fp").join(left, "center")
+    apart = F.concat(F.array_except("grams_center", "grams_fp"), F.array_except("grams_fp", "grams_center"))
+    each = stage(both.select(*rest.columns, F.explode(apart).alias("difference")), "minhash-differences")
+
+    nodes = each.groupBy("center", "difference").agg(F.count("*").alias("nodes"))
+    rare = Window.partitionBy("center", "fp").orderBy("nodes", "difference")
+    ranked = each.join(stage(nodes, "minhash-rarity"), ["center", "difference"]).withColumn("left", F.col("all") - F.row_number().over(rare) + 1)
+    # ``left`` is the number of differences from this one on. Rounding errors may only keep more of them.
+    first = ~F.col("inner") & (F.col("left") >= F.col("cost") - F.col("allowed") - 1e-6)
+    second = F.col("left") > F.col("cost") - 1e-6
+    shared = stage(ranked.where((F.col("nodes") > 1) & (first | second)), "minhash-prefixes")
+    x, y = shared.where(first).alias("x"), shared.where(second).alias("y")
+    # The first difference that two nodes share is followed by all others that they share.
     may = (
-        (F.col("x.band") == F.col("y.band")) & (F.col("x.label") != F.col("y.label"))
+        (F.col("x.center") == F.col("y.center")) & (F.col("x.difference") == F.col("y.difference")) & (F.col("x.label") != F.col("y.label"))
         & (F.col("y.inner") | (F.col("x.fp") < F.col("y.fp")))
-        & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-        & (F.abs(F.col("x.distance") - F.col("y.distance")) <= far)
+        & (F.least("x.left", "y.left") >= F.col("x.cost") + F.col("y.cost") - F.col("x.allowed") - 1e-6)
     )
-    pairs = x.join(y, may).select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b"))
-    return pairs.distinct()
+    return x.join(y, may).select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b")).distinct()
 
 
 def _asked_sets(df: DataFrame, id: str, text: str, nodes: DataFrame, asked: DataFrame, shingle: int) -> DataFrame:
@@ -259,19 +280,18 @@ def near_duplicates(
     known = stage(signed_rows(df, id, text, shingle), "minhash-rows")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row_key"))).alias("first")
     some = known.where("n > 0")
-    nodes = some.groupBy("fp").agg(first, F.first("n").alias("n"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
-    nodes = stage(nodes, "minhash-nodes")
+    nodes = stage(some.groupBy("fp").agg(first, F.first("bands").alias("bands")), "minhash-nodes")
 
-    keyed = nodes.select(F.explode("bands").alias("band"), "fp", "n", "copies")
-    shared = stage(keyed.groupBy("band").agg(F.count("*").alias("nodes")).where("nodes > 1").select("band"), "minhash-shared")
+    keyed = nodes.select(F.explode("bands").alias("band"), "fp")
+    shared = stage(keyed.groupBy("band").agg(F.count("*").alias("nodes")).where("nodes > 1"), "minhash-shared")
     maybe = may_hold(keyed, F.col("band"), shared.select(F.col("band").alias("key"))).where("maybe").drop("maybe")
-    members = stage(maybe.join(shared, "band", "left_semi"), "minhash-members")
+    members = stage(maybe.join(shared, "band"), "minhash-members")
     sets = _asked_sets(df, id, text, nodes, members.select("fp").distinct(), shingle)
 
-    centered, seen = _first_links(members, sets)
+    seen = _compared(members, sets)
     links = seen.where(_linked(percent)).select("a", "b")
     labels = grouped(links)
-    pairs = stage(_open_pairs(centered, seen, labels, percent), "minhash-open-pairs")
+    pairs = stage(_open_pairs(seen, labels, sets, percent), "minhash-open-pairs")
     late = stage(compare(pairs, sets).where(_linked(percent)).select("a", "b"), "minhash-late")
     if not late.isEmpty():
         labels = grouped(links.union(late))
