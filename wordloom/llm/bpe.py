@@ -27,7 +27,7 @@ from public_tokenizers import path as public_path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
-from wordloom.llm.common import BoundedCache, add_columns, documents
+from wordloom.llm.common import BoundedCache, add_columns, documents, worker_cache
 
 #: Characters whose classes and case have not changed between Unicode versions, less the separators
 #: that are white space to Python alone. Texts of other characters go through the library's own rules.
@@ -171,6 +171,15 @@ def text_ids(cache: ChunkCache, text: str) -> bytes:
     )
 
 
+def _cache(path: str) -> ChunkCache:
+    worker_cache("bpe", chunk_cache.cache_clear)
+    return chunk_cache(path)
+
+
+def _joined(strings: list[str], ids: bytes | None) -> str | None:
+    return None if ids is None else " ".join([strings[i] for i in np.frombuffer(ids, "<u4").tolist()])
+
+
 def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """Add ``token_ids`` (binary: little-endian unsigned 32-bit integers) and ``n_tokens`` to the rows.
 
@@ -179,7 +188,7 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """
 
     def start():
-        cache = chunk_cache(path)
+        cache = _cache(path)
 
         def work(texts):
             ids = [text_ids(cache, t or "") for t in texts]
@@ -198,13 +207,24 @@ def decode(df: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded
 
     def start():
         strings = vocabulary_strings(path)
+        return lambda rows: [[_joined(strings, x) for x in rows]]
+
+    return add_columns(df, [ids], f"`{out}` STRING", start)
+
 
-        def work(rows):
-            return [[None if x is None else " ".join([strings[i] for i in np.frombuffer(x, "<u4").tolist()]) for x in rows]]
+def encode_and_decode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``encode``, then ``decode`` of its ids, in one pass over the rows; the column ``text`` is left out."""
+
+    def start():
+        cache, strings = _cache(path), vocabulary_strings(path)
+
+        def work(texts):
+            ids = [text_ids(cache, t or "") for t in texts]
+            return ids, [len(x) // 4 for x in ids], [_joined(strings, x) for x in ids]
 
         return work
 
-    return add_columns(df, [ids], f"`{out}` STRING", start)
+    return add_columns(df, [text], "token_ids BINARY, n_tokens BIGINT, decoded STRING", start, drop=[text])
 
 
 def word_vocabulary() -> str:
@@ -213,9 +233,7 @@ def word_vocabulary() -> str:
 
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""
-    path = word_vocabulary()
-    coded = encode(documents(spark, folder).select("doc_id", "text"), path).drop("text")
-    return decode(coded, path).select(
+    return encode_and_decode(documents(spark, folder).select("doc_id", "text"), word_vocabulary()).select(
         "doc_id",
         "n_tokens",
         F.sha2("token_ids", 256).alias("ids_sha256"),

@@ -89,35 +89,61 @@ def may_hold(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
     return marked.withColumn("maybe", F.coalesce("maybe", F.lit(False))).drop("bucket")
 
 
+#: Most rows of an Arrow batch; both sides hold whole batches.
+BATCH_ROWS = 1_000
+_cleaners: dict[str, Callable[[], None]] = {}
+_owner = ""
+
+
+def worker_cache(owner: str, clear: Callable[[], None]) -> None:
+    """Tell that an operator keeps something in its Python worker, and how to drop it. Called where it is used.
+
+    A worker serves one operator after the other. What one has kept is dropped when another one starts.
+    """
+    global _owner
+    if _owner != owner:
+        for name in [n for n in _cleaners if n != owner]:
+            _cleaners.pop(name)()
+        _owner = owner
+    _cleaners[owner] = clear
+
+
 def add_columns(
-    df: DataFrame, inputs: Sequence[str], fields: str, start: Callable[[], Callable[..., Sequence[Sequence]]]
+    df: DataFrame, inputs: Sequence[str], fields: str, start: Callable[[], Callable[..., Sequence[Sequence]]], drop: Iterable[str] = ()
 ) -> DataFrame:
-    """Append columns computed in Arrow batches; columns of the same names are replaced.
+    """Append columns computed in Arrow batches; columns of the same names are replaced and those of ``drop`` left out.
 
     ``start()`` runs once per task and returns a function from lists (one per
     input column) to sequences (one per field of ``fields``). The other
-    columns pass through as they are.
+    columns pass through as they are. No column is sent twice.
     """
+    spark = df.sparkSession
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     new: list[StructField] = _parse_datatype_string(fields).fields
-    kept = without(df, [f.name for f in new])
-    sources = df.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"`{c}`").alias(f"_in{i}") for i, c in enumerate(inputs)])
-    schema = StructType([*sources.schema.fields[: len(kept)], *new])
-    types = [to_arrow_type(f.dataType) for f in new]
-    names = [*kept, *[f.name for f in new]]
+    kept = without(df, [*[f.name for f in new], *drop])
+    lowered = [c.lower() for c in kept]
+    more = [c for c in dict.fromkeys(c.lower() for c in inputs) if c not in lowered]
+    # On the way columns have plain names, since any name may be in use, also one with a dot.
+    sources = df.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate([*kept, *more])])
+    at = [lowered.index(c.lower()) if c.lower() in lowered else len(kept) + more.index(c.lower()) for c in inputs]
     width = len(kept)
+    names = [f"_{i}" for i in range(width + len(new))]
+    schema = StructType([*sources.schema.fields[:width], *[StructField(n, f.dataType) for n, f in zip(names[width:], new)]])
+    types = [to_arrow_type(f.dataType) for f in new]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for whole in batches:
-            for at in range(0, whole.num_rows, SLICE_ROWS):
-                batch = whole.slice(at, SLICE_ROWS)
-                results = work(*[batch.column(width + i).to_pylist() for i in range(len(inputs))])
+            for first in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(first, SLICE_ROWS)
+                results = work(*[batch.column(i).to_pylist() for i in at])
                 arrays = [
                     r if isinstance(r, pa.Array) else pa.array(r, type=t) for r, t in zip(results, types, strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(width)), *arrays], names=names)
 
-    return sources.mapInArrow(run, schema)
+    return sources.mapInArrow(run, schema).toDF(*kept, *[f.name for f in new])
 
 
 class BoundedCache(dict):

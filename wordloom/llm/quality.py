@@ -10,7 +10,10 @@ hundredths, over all texts that pass the plain rules. With fewer than ``FEW`` su
 length the band of the language is used, with fewer of the language that of all texts.
 
 Defined results: a null text has no words, lines or symbols and fails the plain rules; texts without a token
-have no measures; repeated rows each give their own result.
+have no measures; repeated rows each give their own result; columns named as those that are added are replaced, all others stay.
+
+The width is a trade: on labelled rows of the test tables that pass the plain rules, bands of 6, 4 and 3 deviations keep 24, 6 and
+2 % of the texts labelled bad and lose 0.1, 1 and 1.5 % of the good ones.
 """
 
 from __future__ import annotations
@@ -24,13 +27,13 @@ import sentencepiece
 from public_tokenizers import path as public_path
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from wordloom.llm.common import BoundedCache, add_columns, documents, words_of
+from wordloom.llm.common import BoundedCache, add_columns, documents, nested, without, worker_cache, words_of
 from wordloom.staging import stage
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 #: Half width of a band in standard deviations, least slack by measure, texts of a language that make its own band.
-WIDTH, FEW = 6.0, 50
+WIDTH, FEW = 4.0, 50
 LEAST = {"tokens_per_word": 0.4, "chars_per_token": 0.25, "byte_share": 0.02, "entropy": 0.4}
 _CACHE_WORDS = 120_000
 
@@ -88,9 +91,10 @@ def _byte_ids(path: str) -> np.ndarray:
 
 
 def measures(df: DataFrame, path: str, text: str = "text", lang: str = "lang") -> DataFrame:
-    """Add the plain counts, ``group`` (language or script) and the measures."""
+    """Add the plain counts, ``group`` (language or script) and the measures; ``text`` is left out."""
 
     def start():
+        worker_cache("quality", _word_cache.cache_clear)
         known, is_byte = _word_cache(path).__getitem__, _byte_ids(path)
 
         def one(t: str | None, group: str | None) -> tuple:
@@ -114,7 +118,7 @@ def measures(df: DataFrame, path: str, text: str = "text", lang: str = "lang") -
         "n_words BIGINT, word_chars BIGINT, n_symbols BIGINT, n_dup_lines BIGINT, n_repeat_words BIGINT, "
         "group STRING, n_tokens BIGINT, tokens_per_word DOUBLE, chars_per_token DOUBLE, byte_share DOUBLE, entropy DOUBLE"
     )
-    return add_columns(df, [text, lang], fields, start)
+    return add_columns(df, [text, lang], fields, start, drop=[text])
 
 
 def _median(counts: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
@@ -153,12 +157,20 @@ def bands(measured: DataFrame) -> DataFrame:
     return limits.groupBy("band").agg(*sides)
 
 
+#: Columns that judging adds.
+ADDED = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens", "tokens_per_word", "chars_per_token", "byte_share", "entropy",
+    "base_failed", "kept",
+)
+
+
 def judge(df: DataFrame, path: str | None = None, text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows, without ``text``, with all counts and measures, ``base_failed`` and ``kept``."""
     few, repeats = F.col("n_words") < MIN_WORDS, 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
+    own = without(df, [text, *ADDED])
+    given = df.select(nested(df, [text, *ADDED]).alias("row"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
     measured = stage(
-        measures(df, path or public_path("piece_bpe_32k.model"), text, lang).drop(text).withColumn("base_failed", few | repeats),
-        "quality-measures",
+        measures(given, path or public_path("piece_bpe_32k.model")).drop("lang").withColumn("base_failed", few | repeats), "quality-measures"
     )
     limits = stage(bands(measured), "quality-bands")
     joined = measured
@@ -172,7 +184,7 @@ def judge(df: DataFrame, path: str | None = None, text: str = "text", lang: str
     inside = F.lit(True)
     for m in LEAST:
         inside = inside & F.coalesce(F.col(m).between(F.col(f"_limits.{m}_low"), F.col(f"_limits.{m}_high")), F.lit(True))
-    return joined.withColumn("kept", ~F.col("base_failed") & inside).select(*measured.columns, "kept")
+    return joined.withColumn("kept", ~F.col("base_failed") & inside).select(*[F.col(f"row.`{c}`") for c in own], *ADDED)
 
 
 def op5_fertility(spark: SparkSession, folder: str) -> DataFrame:
