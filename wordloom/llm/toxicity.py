@@ -8,7 +8,8 @@ Model, learned from labelled documents only:
   three letters, then all words. A prefix counts only the words that are
   not significant themselves, so that one bad word does not taint its prefix, and so
   that unseen forms of a bad stem are still met.
-- Tokens whose log-odds are not significant score a small negative constant.
+- All other tokens score a small negative constant: those without significant log-odds, and those that are
+  significantly clean. A text is toxic by what it holds; clean words beside it are no excuse.
 
 Scoring, one row at a time: a linear scan finds all maximal scoring segments
 (Ruzzo and Tompa). A segment with score S in a text of n tokens has the
@@ -19,7 +20,7 @@ distribution over clean training documents. The positive normalized scores of
 a document add up to its evidence; one logistic curve maps evidence to the
 probability of the label.
 
-Bounds: at most ``LABELLED_ROWS`` labels and ``MODEL_TOKENS`` tokens make the
+Bounds: at most ``LABELLED_ROWS`` labels, ``MODEL_TOKENS`` words and as many prefixes of each of the six lengths make the
 model, so both may be broadcast. All documents are scored whole.
 
 Defined results: a null text is the empty text, which has no passage; without
@@ -36,12 +37,13 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wordloom.llm.common import BoundedCache, add_columns, documents, least_of_most
+from wordloom.operators.ranking import dense_index
 from wordloom.sources import tables
 from wordloom.staging import stage
 
 #: Most labels used for fitting; beyond it a hash of the id chooses.
 LABELLED_ROWS = 200_000
-#: Most entries of the model: words and prefixes with the clearest log-odds.
+#: Most words, and most prefixes of each length, with the clearest log-odds, that enter the model.
 MODEL_TOKENS = 20_000
 #: Weight of the Dirichlet prior in documents; least documents of a significant token; its log-odds
 #: must exceed ``MIN_ODDS`` by ``MIN_Z`` standard deviations.
@@ -145,10 +147,17 @@ def _z(toxic: Column, clean: Column, share: float) -> Column:
 
 
 def _significant(counts: DataFrame, share: float) -> list:
+    """The at most ``MODEL_TOKENS`` clearest significant tokens; of equally clear ones the first by name."""
     z = _z(F.col("toxic"), F.col("clean"), share)
     rows = counts.where(F.col("toxic") >= MIN_DOCS).withColumn("z", F.floor(z * 100)).where(F.col("z") >= MIN_Z * 100)
+    rows = stage(rows.select("word", "toxic", "clean", "z"), "toxicity-significant")
     least = least_of_most(rows, "z", MODEL_TOKENS)
-    return [] if least is None else rows.where(F.col("z") >= least).collect()
+    above = [] if least is None else rows.where(F.col("z") >= least).collect()
+    ties = rows if least is None else rows.where(F.col("z") < least)
+    if len(above) == MODEL_TOKENS or (cut := ties.agg(F.max("z")).first()[0]) is None:
+        return above
+    named = dense_index(ties.where(F.col("z") == cut), [F.col("word")], "place")
+    return above + named.where(F.col("place") <= MODEL_TOKENS - len(above)).collect()
 
 
 def _fit_log_odds(words: DataFrame, share: float) -> tuple[dict[str, float], list[tuple[float, int]]]:
@@ -166,6 +175,7 @@ def _fit_log_odds(words: DataFrame, share: float) -> tuple[dict[str, float], lis
             elif stems:
                 known = spark.createDataFrame([(w,) for w in stems if len(w) == k + 1], "stem STRING")
                 rest = rest.withColumn("stem", F.substring("word", 1, k + 1)).join(F.broadcast(known), "stem", "left_anti").drop("stem")
+            rest = stage(rest, "toxicity-rest")  # so that no level repeats the joins of the ones before
         wider = (
             rest.where(F.length("word") > k)
             .groupBy(F.concat(F.substring("word", 1, k), F.lit("*")).alias("word"))
@@ -282,7 +292,7 @@ def _segments(df: DataFrame, text: str, model: Model) -> DataFrame:
 
         return work
 
-    return add_columns(df, [text], "n_tokens BIGINT, scores ARRAY<DOUBLE>", start)
+    return add_columns(df, [text], "n_tokens BIGINT, scores ARRAY<DOUBLE>", start, drop=[text])
 
 
 PASSAGE = "ARRAY<STRUCT<first_char: INT, end_char: INT, score: DOUBLE, chance: DOUBLE>>"
