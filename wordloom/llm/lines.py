@@ -6,7 +6,7 @@
 3. Distinct hashes are cut into shards of about ``SHARD_KEYS``. A shard is a
    minimal perfect hash (levels of bit arrays in which a key takes a place
    that no other key wants) that numbers its keys, and three arrays by that number:
-   32-bit fingerprint, document count up to 255, largest id.
+   32-bit fingerprint (in the broadcast shard, which settles lines on the spot, the whole second hash), document count up to 255, largest id.
 4. Documents probe the arrays. The at most ``HOT_KEYS`` most frequent keys form
    one shard that is broadcast and probed where the documents are; no other key has more than
    1/HOT_KEYS of all lines, so the probes sent to the other shards are even.
@@ -112,16 +112,18 @@ class Shard:
     """A perfect hash with its arrays."""
 
     index: PerfectHash
-    prints: np.ndarray
+    prints: np.ndarray  # of 32 bits, or the whole second hash
     counts: np.ndarray
     last: np.ndarray
 
     @classmethod
-    def build(cls, one: np.ndarray, two: np.ndarray, n: np.ndarray, last: np.ndarray) -> Shard:
+    def build(cls, one: np.ndarray, two: np.ndarray, n: np.ndarray, last: np.ndarray, whole: bool = False) -> Shard:
+        """``whole`` keeps all bits of the second hash, so that only a line of the same 64 bits there, and the same place by the first hash, is taken for a key."""
         index = PerfectHash.build(one, two).opened()
         order = index.numbers(one, two)
-        arrays = [np.zeros(len(one), t) for t in (np.uint32, np.uint8, np.int64)]
-        for array, values in zip(arrays, ((two >> np.uint64(32)).astype(np.uint32), np.minimum(n, 255).astype(np.uint8), last)):
+        prints = two if whole else (two >> np.uint64(32)).astype(np.uint32)
+        arrays = [np.zeros(len(one), t) for t in (prints.dtype, np.uint8, np.int64)]
+        for array, values in zip(arrays, (prints, np.minimum(n, 255).astype(np.uint8), last)):
             array[order] = values
         return cls(index, *arrays)
 
@@ -132,7 +134,8 @@ class Shard:
             return zero.astype(bool), zero, zero
         at = self.index.numbers(one, two)
         safe = np.maximum(at, 0)
-        known = (at >= 0) & (self.prints[safe] == (two >> np.uint64(32)).astype(np.uint32))
+        prints = two if self.prints.dtype == np.uint64 else (two >> np.uint64(32)).astype(np.uint32)
+        known = (at >= 0) & (self.prints[safe] == prints)
         return known, np.where(known, self.counts[safe], 0), self.last[safe]
 
     def packed(self) -> list[bytes]:
@@ -148,7 +151,8 @@ class Shard:
         index = PerfectHash(
             np.frombuffer(parts[0], np.int64).tolist(), np.frombuffer(parts[1], np.uint8), {(a, b): k for a, b, k in late}
         ).opened()
-        return cls(index, *(np.frombuffer(p, t) for p, t in zip(parts[3:], (np.uint32, np.uint8, np.int64))))
+        width = np.uint64 if len(parts[3]) == 8 * len(parts[4]) else np.uint32
+        return cls(index, *(np.frombuffer(p, t) for p, t in zip(parts[3:], (width, np.uint8, np.int64))))
 
 
 _PARTS = ("sizes", "bits", "late", "prints", "counts", "last")
@@ -198,7 +202,7 @@ def surplus_lines(hashed: DataFrame, counts: DataFrame, min_docs: int = MIN_DOCS
     hot_rows = often.where(F.lit(False) if least is None else F.col("n") >= least).toArrow()
     hot = spark.sparkContext.broadcast(
         Shard.build(
-            _unsigned(hot_rows["one"]), _unsigned(hot_rows["two"]), hot_rows["n"].to_numpy(), hot_rows["last"].to_numpy()
+            _unsigned(hot_rows["one"]), _unsigned(hot_rows["two"]), hot_rows["n"].to_numpy(), hot_rows["last"].to_numpy(), whole=True
         ).packed()
     )
     arrays = counts.withColumn("shard", F.pmod("one", F.lit(shards))).groupBy("shard").applyInArrow(
