@@ -40,8 +40,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wordloom.llm.common import documents, fold_text, least_of_most, words_of
 from wordloom.staging import stage
 
-#: Bounds: broadcast words, classes besides "other", distinct words that a task counts before it hands them on.
-HOT_WORDS, CLASSES, COUNTED_WORDS = 200_000, 6, 250_000
+#: Bounds: broadcast words, distinct words that a task counts before it hands them on.
+HOT_WORDS, COUNTED_WORDS = 200_000, 250_000
+#: Least share of the training documents with a language that makes a class of its own; so there are at most 100.
+CLASS_SHARE = 0.01
 #: Share of a class's unseen words that is taken to be known from other classes.
 OTHER_CLASSES = 0.15
 #: Weight of the vocabulary's own scores, in piece occurrences.
@@ -249,7 +251,9 @@ def score_documents(
     trains = ~(held_out(id) if held is None else held)
     docs = df.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"), trains.alias("trains"))
     by_lang = docs.where("trains").groupBy("lang").agg(F.count("*").alias("n"))
-    top = by_lang.where("lang IS NOT NULL").orderBy(F.desc("n"), "lang").limit(CLASSES).collect()
+    named = by_lang.where("lang IS NOT NULL")
+    whole = named.agg(F.sum("n")).first()[0] or 0
+    top = named.where(F.col("n") >= CLASS_SHARE * whole).orderBy(F.desc("n"), "lang").collect()
     classes = [r.lang for r in top]
     trained = by_lang.agg(F.sum("n")).first()[0] or 0
     ends = [r.n for r in top] + [trained - sum(r.n for r in top)]
