@@ -1,6 +1,7 @@
 """Surrogates: nothing private stays, kinds and formats stay, distinctness and coreference hold."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,13 +67,61 @@ def test_gender_and_key(spark, replaced):
     assert again == replaced and other[1] != replaced[1]
 
 
-def test_collisions_are_drawn_again(spark):
-    """All hundred two-digit mail names: surrogates must be a different hundred, so many first draws collide."""
-    values = [(f"{i:02d}@{d}.example.org", "mail") for i in range(60) for d in "ab"]
-    table = surrogates.surrogates(spark.createDataFrame(values, "value STRING, kind STRING"), "k").collect()
-    made = [r.surrogate for r in table]
-    assert len(set(made)) == len(values) and not set(made) & {v for v, _ in values}
-    assert max(r.attempt for r in table) > 0 and all(re.fullmatch(r"\d\d@[a-z]\.[a-z]{7}\.org", s) for s in made)
+def made(spark, values, kind="mail", key="k"):
+    table = surrogates.surrogates(spark.createDataFrame([(v, kind) for v in values], "value STRING, kind STRING"), key).collect()
+    assert len(table) == len(values)
+    out = {r.value: r.surrogate for r in table}
+    assert len(set(out.values())) == len(values) and not set(out.values()) & set(values)
+    return out, max(r.attempt for r in table)
+
+
+def test_one_format_is_permuted(spark):
+    """All hundred two-digit names at one host: a hundred others of the same format, without a second draw."""
+    out, attempts = made(spark, [f"{i:02d}@host{d}.example.org" for i in range(100) for d in "ab"])
+    assert attempts < surrogates.WIDER and all(re.fullmatch(r"\d\d@[a-z]{5}\.[a-z]{7}\.org", s) for s in out.values())
+    hosts = {v.partition("@")[2]: s.partition("@")[2] for v, s in out.items()}
+    assert len(hosts) == len(set(hosts.values())) == 2
+    numbers = [f"{i:03d}-{i % 97:02d}-{i * 7 % 10_000:04d}" for i in range(1_000)]
+    assert all(re.fullmatch(r"\d{3}-\d\d-\d{4}", s) for s in made(spark, numbers, "ssn")[0].values())
+    addresses = [f"{1 + i % 223}.{i // 223}.0.{i % 7}" for i in range(2_000)]
+    assert all(re.fullmatch(r"\d+(\.\d+){3}", s) and max(map(int, s.split("."))) < 256 for s in made(spark, addresses, "ip")[0].values())
+
+
+def test_a_full_format_grows(spark):
+    """Every address of its format is taken, and letters beyond a-z share the 26 letters."""
+    out, attempts = made(spark, [f"{a}@{b}.org" for a in "abcdefghijklmnopqrstuvwxyzéü" for b in "abcdefghijklmnopqrstuvwxyz"])
+    assert attempts >= surrogates.WIDER and all(re.fullmatch(r"[a-z]+@[a-z]\.org", s) for s in out.values())
+
+
+def test_many_addresses(spark):
+    out, _ = made(spark, [f"{c}{i}@h.org" for i in range(5_000) for c in "xé"])
+    assert {s.partition("@")[2] for s in out.values()} == {out["x0@h.org"].partition("@")[2]}
+
+
+def test_long_runs_take_linear_time(spark):
+    """A megabyte of every shape that a pattern might walk again and again."""
+    shapes = {
+        "letters": "q" * 1_000_000, "domain": "x@" + "b." * 500_000 + "com", "secret": "password=" + "0aB_" * 250_000, "digits": "1" * 1_000_000,
+        "dotted": "a.b-" * 250_000, "words": "Mr. Aa " * 140_000, "at signs": "a@" * 500_000,
+    }
+    spark.createDataFrame([(1, "password=abcdefgh1")], "doc_id BIGINT, text STRING").transform(surrogates.replace_private, "k").collect()
+    for name, text in shapes.items():
+        docs = spark.createDataFrame([(1, text)], "doc_id BIGINT, text STRING")
+        start = time.perf_counter()
+        row = surrogates.replace_private(docs, "k").first()
+        took = time.perf_counter() - start
+        assert len(row.text) >= len(text) // 2 and took < 60, (name, took)
+        if name == "secret":
+            assert row.text != text and row.text.startswith("password=") and re.fullmatch(r"(\d[a-z][A-Z]_){250000}", row.text[9:])
+        elif name != "words":
+            assert row.text == text
+
+
+def test_mail_formats(spark):
+    mails = ["a.b@c.de", "x@b.co.uk", "q@x-y.com.5", "ü@ß.org", "l" * 64 + "@h.org", "a@" + "b." * 100 + "com"]
+    docs = spark.createDataFrame([(i, f"see {m}. And") for i, m in enumerate(mails)], "doc_id BIGINT, text STRING")
+    for r in surrogates.replace_private(docs, "k").collect():
+        assert r.n_entities == 1 and mails[r.doc_id].partition("@")[0] + "@" not in r.text
 
 
 def test_odd_rows_and_query(odd, empty, spark, sf):

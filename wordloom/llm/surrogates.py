@@ -12,26 +12,36 @@ documents change alike. Surrogates come from SHA-256 of a secret key, the kind a
 - names are built from syllables of their script (Latin, Greek, Cyrillic, other letters by code), given names end
   by the gender that the title tells, as entities of their own.
 
-Collisions: an entity whose surrogate another entity also has (all but the smallest), or whose
-surrogate is itself an entity, is drawn again with the next attempt, until none is left. Only rows with
+Distinctness: characters change by a keyed permutation of all strings of a format (rounds over the two halves of a string, each
+shifted by what the other one gives), so two entities of one format never meet. What is left are surrogates that are themselves an
+entity, or that entities of two formats share (letters beyond a-z become a-z): all but the smallest
+are drawn again with the next attempt. From attempt ``WIDER`` on formats grow by a letter per attempt, so that a format whose strings are all
+taken does not end the job. Only rows with
 entities are split at them and joined with the table of surrogates; all others pass through the scan.
 The entity join has the entity as key and no aggregate above it, so adaptive execution can split
 a frequent one.
 
 Defined results: a null text stays null; texts without an entity stay as they are; mentions never overlap, the leftmost
-and, at one place, the kind named first wins; repeated rows each give their own result.
+and, at one place, the kind named first wins; repeated rows each give their own result. A mail address has at most 64 characters
+before the @, labels of at most 63 and no more than 126 of them; longer ones are none. Names are found behind one of the titles listed only.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from wordloom.functions.strings import bind
 from wordloom.llm.common import documents, nested, without
 from wordloom.staging import stage
 
 #: Key of the registered query; callers give their own secret.
 KEY = "example key"
 MAX_ATTEMPTS = 64
+#: First attempt that makes a format longer.
+WIDER = 3
+#: Rounds of the permutation of a format; longest string that is permuted as a whole.
+ROUNDS, LONG = 4, 256
+_ALPHABETS = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _TITLES = {
     "m": ("Mr", "Herr", "Monsieur", "Señor", "Sr", "г-н", "κύριος"),
@@ -40,9 +50,10 @@ _TITLES = {
 }
 #: Kinds in order of precedence, with their patterns.
 PATTERNS = {
-    "mail": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    # Bounded and possessive, and only from the start of a run, so that a run of any length is passed in linear time.
+    "mail": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{N}-]{1,63}+\.){1,126}\p{L}{2,63}+",
     "access_key": r"\bAKIA[0-9A-Z]{16}\b",
-    "secret": r"\b(?i:password|passwd|pwd|secret|token|api_key|apikey)\s*[=:]\s*[\"']?[A-Za-z0-9_+/-]{8,}",
+    "secret": r"\b(?i:password|passwd|pwd|secret|token|api_key|apikey)\s*[=:]\s*[\"']?[A-Za-z0-9_+/-]{8,}+",
     "ip": rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
@@ -79,22 +90,87 @@ def _draw(digest: Column, i: Column) -> Column:
     return F.conv(F.substr(digest, (i % 64) * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
 
-def _masked(value: Column, digest: Column) -> Column:
-    """Letters and digits replaced in kind, the rest kept; hexadecimal strings stay hexadecimal."""
-    letters = F.when(F.regexp_like(value, F.lit(r"\A(?:[0-9a-f]{8,}|[0-9A-F]{8,})\z")), 6).otherwise(26)
+def _permuted(numbers: Column, radices: Column, key: str, *parts: Column) -> Column:
+    """A keyed permutation of the arrays of numbers below ``radices``: equal radices, different numbers, different results."""
+
+    def shifted(half: Column, own: Column, other: Column, round_no: int) -> Column:
+        told = F.concat_ws(",", F.transform(other, lambda x: x.cast("string")))
+        digest = _digest(key, F.lit(f"round {round_no}"), *parts, F.size(half).cast("string"), told)
+        draws = bind(digest, lambda d: F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: _draw(d, i)))
+        return bind(draws, lambda d: F.zip_with(
+            F.transform(half, lambda x, i: x + F.get(d, i % 64)), own, lambda x, r: F.pmod(x, r)
+        ))
+
+    middle = (F.size(numbers) / 2).cast("int")
+    halves = lambda a: [F.slice(a, F.lit(1), middle), F.slice(a, middle + 1, F.size(numbers) - middle)]
+    left, right = halves(radices)
+
+    def step(pair: Column, round_no: int) -> Column:
+        if round_no % 2 == 0:
+            return bind(pair, lambda p: F.struct(p["l"].alias("l"), shifted(p["r"], right, p["l"], round_no).alias("r")))
+        return bind(pair, lambda p: F.struct(shifted(p["l"], left, p["r"], round_no).alias("l"), p["r"].alias("r")))
+
+    first = halves(numbers)
+    pair = F.struct(first[0].alias("l"), first[1].alias("r"))
+    for i in range(ROUNDS):
+        pair = step(pair, i)
+    return bind(pair, lambda p: F.concat(p["l"], p["r"]))
+
+
+def _turned(value: Column, digest: Column) -> Column:
+    """Letters and digits moved along their alphabets, in one pass over a string of any length."""
+    for i, alphabet in enumerate(_ALPHABETS):
+        by = 1 + _draw(digest, F.lit(i)) % (len(alphabet) - 1)
+        moved = F.concat(F.substr(F.lit(alphabet), by + 1), F.substr(F.lit(alphabet), F.lit(1), by))
+        value = F.call_function("translate", value, F.lit(alphabet), moved)
+    return value
+
+
+def _masked(whole: Column, key: str, *parts: Column) -> Column:
+    """Letters and digits replaced in kind, the rest kept; hexadecimal strings stay hexadecimal.
+
+    Of strings over ``LONG`` characters the first ones alone are permuted, under a key that depends on all characters; the others
+    are moved along their alphabets.
+    """
+    long = F.length(whole) > LONG
+    digest = F.when(long, _digest(key, F.lit("long"), *parts, whole)).otherwise("")
+    value = F.when(long, F.substring(whole, 1, LONG // 4)).otherwise(whole)
+    rest = F.when(long, bind(digest, lambda d: _turned(F.substr(whole, F.lit(LONG // 4 + 1)), d))).otherwise("")
+    parts = (*parts, digest)
+    hexadecimal = F.regexp_like(value, F.lit(r"\A(?:[0-9a-f]{8,}|[0-9A-F]{8,})\z"))
+
+    def of_characters(chars: Column) -> Column:
+        letters = F.when(hexadecimal, 6).otherwise(26)
+
+        def radix(c: Column) -> Column:
+            other = F.when(F.regexp_like(c, F.lit(r"\p{L}")), 26).otherwise(1)
+            return F.when(c.between("0", "9"), 10).when(c.between("a", "z") | c.between("A", "Z"), letters).otherwise(other)
+
+        def number(c: Column) -> Column:
+            code = F.ascii(c)
+            return (
+                F.when(c.between("0", "9"), code - 48).when(c.between("a", "z"), code - 97).when(c.between("A", "Z"), code - 65)
+                .when(F.regexp_like(c, F.lit(r"\p{L}")), code % 26).otherwise(0)
+            )
+
+        def shown(c: Column, n: Column) -> Column:
+            upper = c.between("A", "Z") | F.regexp_like(c, F.lit(r"\p{Lu}"))
+            return (
+                F.when(c.between("0", "9"), n.cast("string"))
+                .when(~F.regexp_like(c, F.lit(r"\p{L}")), c)
+                .otherwise(F.char(F.when(upper, 65).otherwise(97) + n))
+            )
+
+        changed = bind(F.transform(chars, radix), lambda r: bind(F.transform(chars, number), lambda n: _permuted(n, r, key, *parts)))
+        return F.array_join(F.zip_with(chars, changed, shown), "")
+
+    return F.when(F.length(value) > 0, F.concat(bind(F.split(value, ""), of_characters), rest)).otherwise(value)
 
-    def one(c: Column, i: Column) -> Column:
-        r = _draw(digest, i)
-        return (
-            F.when(c.between("0", "9"), (r % 10).cast("string"))
-            .when(c.between("a", "z"), F.char(97 + r % letters))
-            .when(c.between("A", "Z"), F.char(65 + r % letters))
-            .when(F.regexp_like(c, F.lit(r"\p{Lu}")), F.char(65 + r % 26))
-            .when(F.regexp_like(c, F.lit(r"\p{L}")), F.char(97 + r % 26))
-            .otherwise(c)
-        )
 
-    return F.array_join(F.transform(F.split(value, ""), one), "")
+def _widened(shown: Column, attempt: Column, digest: Column) -> Column:
+    """Later attempts have more letters."""
+    more = F.transform(F.sequence(F.lit(WIDER), attempt), lambda i: F.char(97 + _draw(digest, i) % 26))
+    return F.when(attempt >= WIDER, F.concat(shown, F.array_join(more, ""))).otherwise(shown)
 
 
 def _luhn_sum(value: Column, skip_last: bool) -> Column:
@@ -147,27 +223,32 @@ def surrogate(value: Column, kind: Column, attempt: Column, key: str) -> Column:
     """The surrogate of an entity."""
     again = attempt.cast("string")
     own = _digest(key, kind, value, again)
+    masked = lambda v: _masked(v, key, kind, again)
     at = F.instr(value, "@")
     local = F.substring(value, F.lit(1), at - 1)
     domain = F.substr(value, at + 1)
     top = F.regexp_extract(domain, r"\.\p{L}+\z", 0)
     host = F.substring(domain, F.lit(1), F.length(domain) - F.length(top))
-    mail = F.concat(_masked(local, own), F.lit("@"), _masked(host, _digest(key, F.lit("domain"), F.lower(domain))), top)
+    # All mentions of a domain change alike, at any attempt.
+    mail = F.concat(_widened(masked(local), attempt, own), F.lit("@"), _masked(host, key, F.lit("domain"), F.lower(top)), top)
     head = F.regexp_extract(value, r"\A\w+\s*[=:]\s*[\"']?", 0)
-    secret = F.concat(head, _masked(F.substr(value, F.length(head) + 1), own))
-    octets = F.transform(F.split(value, r"\."), lambda x, i: F.when(i == 0, 1 + _draw(own, i) % 223).otherwise(_draw(own, i)).cast("string"))
-    masked = _masked(value, own)
-    digit = ((10 - _luhn_sum(masked, True) % 10) % 10).cast("string")
-    card = F.when(_luhn_sum(value, False) % 10 == 0, F.concat(F.substring(masked, F.lit(1), F.length(value) - 1), digit)).otherwise(masked)
+    secret = F.concat(head, _widened(masked(F.substr(value, F.length(head) + 1)), attempt, own))
+    octets = F.transform(F.split(value, r"\."), lambda x: x.cast("int"))
+    radices = F.transform(octets, lambda x, i: F.when(i == 0, 223).otherwise(256))
+    inside = F.transform(octets, lambda x, i: F.when(i == 0, F.pmod(x - 1, F.lit(223))).otherwise(x))
+    ip = F.transform(_permuted(inside, radices, key, kind, again), lambda x, i: F.when(i == 0, x + 1).otherwise(x).cast("string"))
+    plain = masked(value)
+    digit = bind(plain, lambda m: F.concat(F.substring(m, F.lit(1), F.length(m) - 1), ((10 - _luhn_sum(m, True) % 10) % 10).cast("string")))
+    card = F.when(_luhn_sum(value, False) % 10 == 0, digit).otherwise(plain)
     code = F.regexp_extract(value, r"\A\+\d{1,3}(?=[ .(-])", 0)
-    phone = F.concat(code, _masked(F.substr(value, F.length(code) + 1), own))
-    country = F.concat(F.substring(value, 1, 2), _masked(F.substr(value, F.lit(3)), own))
-    access = F.concat(F.lit("AKIA"), _masked(F.substr(value, F.lit(5)), own))
+    phone = F.concat(code, _widened(masked(F.substr(value, F.length(code) + 1)), attempt, own))
+    country = F.concat(F.substring(value, 1, 2), masked(F.substr(value, F.lit(3))))
+    access = F.concat(F.lit("AKIA"), masked(F.substr(value, F.lit(5))))
     name = _name_part(value, kind, attempt, own)
     return (
-        F.when(kind == "mail", mail).when(kind == "secret", secret).when(kind == "ip", F.array_join(octets, "."))
-        .when(kind == "card", card).when(kind == "phone", phone).when(kind == "iban", country)
-        .when(kind == "access_key", access).when(kind == "ssn", masked).otherwise(name)
+        F.when(kind == "mail", mail).when(kind == "secret", secret).when(kind == "ip", F.array_join(ip, "."))
+        .when(kind == "card", card).when(kind == "phone", phone).when(kind == "iban", _widened(country, attempt, own))
+        .when(kind == "access_key", access).when(kind == "ssn", _widened(plain, attempt, own)).otherwise(name)
     )
 
 
