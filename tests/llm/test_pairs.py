@@ -221,43 +221,15 @@ def test_few_or_no_vectors(spark):
 # --- near-duplicates by shingles ------------------------------------------------------
 
 
-def jaccard(x, y):
-    x, y = ({tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))} for t in (x.lower().split(), y.lower().split()))
-    return len(x & y) / len(x | y)
-
-
-def test_similar_texts_meet(spark):
-    """Copies planted at 0.8 to 0.95 go, texts below 0.8 stay."""
-    draw = random.Random(3)
-    rows, gone = [], set()
-    for group in range(60):
-        words = ["w%d" % draw.randrange(5000) for _ in range(300)]
-        rows.append((10 * group, " ".join(words)))
-        for k, changes in enumerate((3, 6, 12, 20), 1):
-            copy = list(words)
-            for at in draw.sample(range(300), changes):
-                copy[at] = "x%d" % draw.randrange(5000)
-            rows.append((10 * group + k, " ".join(copy)))
-    texts = dict(rows)
-    for group in range(60):
-        members = [10 * group + k for k in range(5)]
-        links = Groups(members)
-        for a in members:
-            for b in members:
-                if a < b and jaccard(texts[a], texts[b]) >= 0.8:
-                    links.join(a, b)
-        gone |= {m for m in members if links.find(m) != m}
+def test_pipeline_keeps_the_smallest_id_of_each_group(spark, odd, empty):
+    """The stage on nulls, empty texts, repeated rows, an empty table, and a group of edited copies."""
+    rows = near_copies(60, seed=9)
+    rows += [(100 + i, t) for i, t in rows[:20]]
     docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
-    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, None).collect()}
-    assert 60 < len(gone) < 240 and kept == set(texts) - gone
-
-
-def test_similar_odd_rows_and_large_group(spark, odd, empty):
+    kept = [r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, None).collect()]
+    groups = brute_components({i: brute_fingerprint(t) for i, t in rows})
+    assert sorted(kept) == sorted(set(groups.values()))
     kept = corpus_pipeline.drop_near_duplicates(spark, odd, None).collect()
     want = {1, 2, 3, 4, 7, 8, 9, 10, 11, None}  # 4 stays for the texts without a word
     assert {r.doc_id for r in kept} == want and len(kept) == len(want)
     assert corpus_pipeline.drop_near_duplicates(spark, empty, None).count() == 0
-    words = ["v%d" % i for i in range(200)]
-    group = [(i, " ".join([*words[:i], "new%d" % i, *words[i + 1 :]])) for i in range(150)]
-    docs = spark.createDataFrame(group, "doc_id BIGINT, text STRING")
-    assert [r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, None).collect()] == [0]

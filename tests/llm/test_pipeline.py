@@ -58,3 +58,16 @@ def test_run_equals_stages(spark, sf):
     rows = corpus_pipeline.run(spark, sf)
     assert rows.columns == ["doc_id", "lang", "source", "n_tokens", "token_ids", "decoded"]
     assert 0 < rows.count() < corpus_pipeline.documents(spark, sf).count()
+
+
+def test_stages_on_odd_rows(spark, odd, empty, sf):
+    """Nulls, empty and long texts, repeated rows, a clashing extra column and an empty table go through all stages."""
+    columns = ["doc_id", "text", "lang", "source", "n_chars", "score"]
+    for docs in (odd, empty):
+        docs = docs.selectExpr("*", "length(text) AS n_chars", "0.5D AS score").select(*columns)
+        for name, run in corpus_pipeline.STAGES:
+            out = run(spark, docs, sf)
+            # Each stage gives the columns that it was given, but for its own last word on the score.
+            docs = stage(out.select(*[c for c in columns if c in out.columns]) if name != "bpe" else out, name)
+        ids = {r.doc_id for r in docs.collect()}
+        assert ids <= {r.doc_id for r in odd.collect()} and (ids or docs.count() == 0)
