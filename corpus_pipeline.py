@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordloom.llm import bpe, lines, mixing, similar, toxicity
+from wordloom.llm import bpe, lines, mixing, simhash, toxicity
 from wordloom.llm.common import documents
 from wordloom.staging import fresh_path
 
@@ -29,8 +29,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: texts that share 0.8 of their five-word shingles."""
-    return similar.keep_one(docs)
+    """One document of each group of texts whose 3-word SimHash fingerprints link within 3 bits: the smallest id."""
+    return simhash.keep_one(docs, shingle=simhash.SHINGLE, budget=simhash.BUDGET)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document and the text that they decode to."""
-    path = bpe.word_vocabulary()
-    return bpe.decode(bpe.encode(docs, path).drop("text"), path).select("doc_id", "lang", "source", "n_tokens", "token_ids", "decoded")
+    return bpe.encode_and_decode(docs, bpe.word_vocabulary()).select("doc_id", "lang", "source", "n_tokens", "token_ids", "decoded")
 
 
 STAGES = [
