@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+import math
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wordloom import constants as K
 from wordloom.functions import text as tx
@@ -19,8 +22,8 @@ def candidate_articles(pages: DataFrame) -> DataFrame:
     )
 
 
-def accepted_articles(pages: DataFrame, max_articles: int | None = None) -> DataFrame:
-    """(doc_id, words) of the articles that count, at most ``max_articles`` ids in source order.
+def accepted_articles(pages: DataFrame) -> DataFrame:
+    """(doc_id, words) of the articles that count.
 
     Cleaned text and words are pinned, so each is computed once although a
     length gate follows it.
@@ -32,18 +35,37 @@ def accepted_articles(pages: DataFrame, max_articles: int | None = None) -> Data
     kept = pinned(cleaned, "words", tx.english_words(F.col("_clean"))).where(
         F.size("words") > K.MIN_ARTICLE_WORDS
     ).select("doc_id", "words")
-    if max_articles is None:
-        return kept
-    # Only ids are written and numbered for the cap; the words are derived again under the id bound.
-    ids = stage(kept.select("doc_id").distinct(), "accepted-ids")
-    numbered = dense_index(ids, [F.col("doc_id")], "n")
-    last = numbered.where(F.col("n") <= max_articles).agg(F.max("doc_id").alias("d"))
-    return kept.where(F.col("doc_id") <= last.scalar())
+    return kept
+
+
+def first_articles(pages: DataFrame, max_articles: int) -> DataFrame:
+    """(doc_id, words) of the articles that count, up to ``max_articles`` ids in source order.
+
+    Pages are read in ranges of ids, each twice as wide as the one before, until enough articles are accepted. The bound on the id
+    reaches the scan, which skips row groups and files beyond it, so what is read grows with ``max_articles`` and not with the corpus
+    where files follow the ids. Only ids of the last range are numbered. A range starts at twice the share that would do if all pages counted.
+    """
+    bounds = pages.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("doc_id").alias("n")).first()
+    parts, accepted, start = [], 0, bounds["low"]
+    width = math.ceil((bounds["high"] - start + 1) * min(1.0, 2 * max_articles / bounds["n"])) if bounds["n"] else 0
+    while start is not None and start <= bounds["high"] and accepted < max_articles:
+        inside = pages.where(F.col("doc_id").between(start, start + width - 1))
+        part = stage(accepted_articles(inside), "first-articles")
+        ids = part.select("doc_id").distinct()
+        n = ids.count()
+        if accepted + n > max_articles:
+            numbered = dense_index(ids, [F.col("doc_id")], "n")
+            last = numbered.where(F.col("n") == max_articles - accepted).agg(F.max("doc_id")).first()[0]
+            part = part.where(F.col("doc_id") <= last) if last is not None else part.limit(0)
+        parts.append(part)
+        accepted, start, width = accepted + n, start + width, width * 2
+    return reduce(DataFrame.unionByName, parts) if parts else accepted_articles(pages).limit(0)
 
 
 def article_words(pages: DataFrame, max_articles: int | None = None) -> DataFrame:
     """One row per word occurrence."""
-    return accepted_articles(pages, max_articles).select("doc_id", F.explode("words").alias("word"))
+    kept = accepted_articles(pages) if max_articles is None else first_articles(pages, max_articles)
+    return kept.select("doc_id", F.explode("words").alias("word"))
 
 
 def word_count(pages: DataFrame, max_articles: int | None = None) -> DataFrame:
@@ -109,22 +131,23 @@ def snapshots(
     numbered = dense_index(kept.select("doc_id"), [F.col("doc_id")], "n")
     blocks = numbered.select("doc_id", F.ceil(F.col("n") / every).cast("bigint").alias("block"))
     total = kept.agg(F.floor(F.count(F.lit(1)) / every).alias("n"))
-    per_block = (
-        kept.join(blocks, "doc_id")
-        .select("block", F.explode("words").alias("word"))
-        .groupBy("word", "block")
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
+    shots = running_snapshots(block_counts(kept, blocks), total.scalar(), min_freq)
+    return shots.select((F.col("block") * every).alias("articles"), "word", "freq")
+
+
+def block_counts(kept: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(word, block, c): occurrences of the words of ``kept`` (doc_id, words) per block of articles (doc_id, block)."""
+    words = kept.join(blocks, "doc_id").select("block", F.explode("words").alias("word"))
+    return words.groupBy("word", "block").agg(F.count(F.lit(1)).alias("c"))
+
+
+def running_snapshots(per_block: DataFrame, last_block: Column, min_freq: int) -> DataFrame:
+    """(block, word, freq): counts up to each block to ``last_block``, from the counts ``c`` of the single blocks."""
     by_word = W.partitionBy("word").orderBy("block")
     running = per_block.select(
         "word", "block",
         F.sum("c").over(by_word).alias("freq"),
         F.lead("block").over(by_word).alias("next_block"),
-    ).withColumn("last", F.least(F.coalesce(F.col("next_block") - 1, total.scalar()), total.scalar()))
-    return (
-        running.where((F.col("freq") >= min_freq) & (F.col("last") >= F.col("block")))
-        .select(
-            F.explode(F.sequence("block", "last")).alias("block"), "word", "freq"
-        )
-        .select((F.col("block") * every).alias("articles"), "word", "freq")
-    )
+    ).withColumn("last", F.least(F.coalesce(F.col("next_block") - 1, last_block), last_block))
+    frequent = running.where((F.col("freq") >= min_freq) & (F.col("last") >= F.col("block")))
+    return frequent.select(F.explode(F.sequence("block", "last")).alias("block"), "word", "freq")

@@ -163,20 +163,33 @@ def unknown_tokens(
     return letters.join(dictionary.select(F.col("word").alias("lower")), "lower", "left_anti")
 
 
+def unknown_words(sentences: DataFrame, dictionary: DataFrame, preserve_apostrophe: bool = False) -> DataFrame:
+    """(lower): the distinct words of (sentence) that the dictionary lacks."""
+    stripped = sentences.select(tx.strip(F.col("sentence")).alias("sentence"))
+    return unknown_tokens(stripped, [], dictionary, preserve_apostrophe).select("lower").distinct()
+
+
+def best_fixes(words: DataFrame, dictionary: DataFrame, keys: DataFrame | None = None, typer=None) -> DataFrame:
+    """(lower, best, distance) of the words (lower) that have a correction; with ``typer`` also ``error_type`` and ``confidence``."""
+    best = top_corrections(fuzzy_join(words.select(F.col("lower").alias("query")), dictionary, keys=keys), 1)
+    fixes = best.select(F.col("query").alias("lower"), F.col("word").alias("best"), "distance")
+    if typer is None:
+        return fixes
+    return with_error_types(stage(fixes, "untyped"), typer, "best", "lower").drop("probabilities")
+
+
 def sentence_errors(
     sentences: DataFrame, ids: list[str], dictionary: DataFrame,
-    keys: DataFrame | None = None, preserve_apostrophe: bool = False,
+    keys: DataFrame | None = None, preserve_apostrophe: bool = False, typer=None, fixes: DataFrame | None = None,
 ) -> DataFrame:
     """(ids, token_index, original, lower, best, correction, distance), one row per corrected token.
 
-    Only unknown tokens leave their sentence; each distinct one is searched once.
+    Only unknown tokens leave their sentence; each distinct one is searched once. ``fixes``, a staged table of
+    ``best_fixes``, takes the place of the search.
     """
     tokens = stage(unknown_tokens(sentences, ids, dictionary, preserve_apostrophe), "unknown")
-    lowers = tokens.select(F.col("lower").alias("query")).distinct()
-    best = top_corrections(fuzzy_join(lowers, dictionary, keys=keys), 1)
-    fixes = stage(
-        best.select(F.col("query").alias("lower"), F.col("word").alias("best"), "distance"), "fixes"
-    )
+    if fixes is None:
+        fixes = stage(best_fixes(tokens.select("lower").distinct(), dictionary, keys, typer), "fixes")
     return (
         left_lookup(tokens, fixes, "lower").where(F.col("best").isNotNull())
         .withColumnRenamed("token", "original")
@@ -198,23 +211,28 @@ def _patched(tokens: Column, errors: Column) -> Column:
 
 def check_sentences(
     sentences: DataFrame, ids: list[str], dictionary: DataFrame,
-    keys: DataFrame | None = None, preserve_apostrophe: bool = False, typer=None,
+    keys: DataFrame | None = None, preserve_apostrophe: bool = False, typer=None, fixes: DataFrame | None = None,
 ) -> DataFrame:
     """(ids, status, original_sentence, corrected_sentence, has_errors, num_errors, errors).
 
-    With ``typer``, an ``ErrorTyper``, each error also has its ``error_type`` and ``confidence``.
+    With ``typer``, an ``ErrorTyper``, each error also has its ``error_type`` and ``confidence``; with ``fixes`` see
+    ``sentence_errors``. Null ids are ids like any other, and sentences that share their ids are checked apart.
     """
-    stripped = sentences.select(*ids, tx.strip(F.col("sentence")).alias("sentence"))
-    errors = sentence_errors(stripped, ids, dictionary, keys, preserve_apostrophe)
-    more = ["error_type", "confidence"] if typer is not None else []
-    if typer is not None:
-        errors = with_error_types(errors, typer, "best", "lower").drop("probabilities")
-    per_sentence = errors.groupBy(*ids).agg(
+    text = tx.strip(F.col("sentence"))
+    stripped = sentences.select(*ids, text.alias("sentence"), F.xxhash64(text).alias("_row"))
+    errors = sentence_errors(stripped, [*ids, "_row"], dictionary, keys, preserve_apostrophe, typer, fixes)
+    more = [c for c in ("error_type", "confidence") if c in errors.columns]
+    # Repeated rows have equal errors, each token index once.
+    per_sentence = errors.groupBy(*ids, "_row").agg(
         F.sort_array(
-            F.collect_list(F.struct("token_index", "original", "correction", "distance", *more))
+            F.collect_set(F.struct("token_index", "original", "correction", "distance", *more))
         ).alias("_errors")
     )
-    joined = stripped.join(per_sentence, ids, "left")
+    keyed = per_sentence.withColumnsRenamed({c: f"_key_{c}" for c in ids} | {"_row": "_key_row"})
+    same = F.col("_row") == F.col("_key_row")
+    for c in ids:
+        same = same & F.col(c).eqNullSafe(F.col(f"_key_{c}"))
+    joined = stripped.join(keyed, same, "left")
     sentence, found = F.col("sentence"), F.col("_errors")
     tokens = tx.sentence_tokens(sentence, preserve_apostrophe)
     patched = bind(tokens, lambda t: F.when(found.isNull(), t).otherwise(_patched(t, found)))

@@ -8,12 +8,19 @@ against it.
 from __future__ import annotations
 
 import atexit
+import contextlib
+import contextvars
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wordloom import storage
+
+_scratch: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scratch", default=None)
+
 
 def workspace(spark: SparkSession) -> str:
     """Shared folder for cut points, read from ``spark.checkpoint.dir``."""
@@ -39,4 +46,19 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    if (paths := _scratch.get()) is not None:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged within are deleted at the end; what is computed from them has to be written by then."""
+    paths: list[str] = []
+    token = _scratch.set(paths)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in paths:
+            storage.delete(spark, path)
