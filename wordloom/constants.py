@@ -15,6 +15,9 @@ DICTIONARY_SIZE = 200_000
 # Words rarer than this are not in the frequency table: they are no candidates and read as frequency 0.
 TABLE_MIN_FREQ = 10
 
+# --- fixed values: the entities that XML defines; ``amp`` comes last, so that its mark starts no other
+XML_ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&"}
+
 # --- fixed values: synthetic misspellings -----------------------------------
 SEED = 42
 MIN_WORD_LENGTH = 3

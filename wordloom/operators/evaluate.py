@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
 
 from wordloom.staging import stage
 
@@ -131,6 +131,11 @@ def compare(preds: DataFrame) -> DataFrame:
     )
 
 
+def by_f1() -> WindowSpec:
+    """The order of a comparison; it has one row per model."""
+    return Window.orderBy(F.desc("val_f1"), "model")
+
+
 def best_model(comparison: DataFrame, by: str = "score") -> DataFrame:
     """The model with the largest ``by``; ties go to the first name."""
     best = F.min_by("model", F.struct((-F.col(by)).alias("k"), "model"))

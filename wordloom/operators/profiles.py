@@ -213,21 +213,26 @@ def label_union(a: DataFrame, b: DataFrame, label: str = "error_type") -> DataFr
 
 
 def report(sections: dict[str, DataFrame]) -> DataFrame:
-    """(section, key, value): every section in one long, text-valued frame."""
+    """(section, ord, key, value): every section in one long, text-valued frame; ``ord`` numbers the sections.
+
+    The first column of a section names its rows. Numbers with a fraction are written with four digits.
+    """
     parts = []
-    for name, df in sections.items():
+    for ord, (name, df) in enumerate(sections.items(), 1):
         keyed, *rest = df.columns
-        if rest:
-            long = df.select(
-                F.explode(F.array(*[
-                    F.struct(
-                        F.concat_ws(".", F.col(keyed).cast("string"), F.lit(c)).alias("key"),
-                        F.col(c).cast("string").alias("value"),
-                    )
-                    for c in rest
-                ])).alias("p")
-            )
-        else:
-            long = df.select(F.struct(F.lit(keyed).alias("key"), F.col(keyed).cast("string").alias("value")).alias("p"))
-        parts.append(long.select(F.lit(name).alias("section"), "p.key", "p.value"))
+        kinds = dict(df.dtypes)
+
+        def written(c: str) -> Column:
+            return F.format_string("%.4f", F.col(c)) if kinds[c] == "double" else F.col(c).cast("string")
+
+        cells = [
+            F.struct(F.concat_ws(".", F.col(keyed).cast("string"), F.lit(c)).alias("key"), written(c).alias("value")) for c in rest
+        ] or [F.struct(F.lit(keyed).alias("key"), written(keyed).alias("value"))]
+        long = df.select(F.explode(F.array(*cells)).alias("p"))
+        parts.append(long.select(F.lit(name).alias("section"), F.lit(ord).alias("ord"), "p.key", "p.value"))
     return reduce(DataFrame.unionByName, parts)
+
+
+def one_row_long(df: DataFrame) -> DataFrame:
+    """(k, v) of a table of one row of numbers."""
+    return df.select([F.col(c).cast("double").alias(c) for c in df.columns]).unpivot([], df.columns, "k", "v")
