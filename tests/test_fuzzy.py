@@ -98,3 +98,22 @@ def test_shuffled_and_broadcast_plans_agree(spark, monkeypatch):
     plan = fuzzy.fuzzy_join(q, words(spark, items))._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
     assert found(spark, queries, items) == want == brute(queries, items)
+
+
+def test_heavy_keys_are_dealt_out(spark, monkeypatch):
+    """One-letter queries of one key spread over tasks, and no pair is lost or doubled."""
+    letters = [chr(i) for i in range(35, 126)]
+    items = {a + b for a in letters[:40] for b in letters[:20]} | set(letters[::7]) | {"ab", "abc", "abcd"}
+    queries = set(letters) | {"a", "abx"}
+    want = brute(queries, items)
+    assert found(spark, queries, items) == want
+    monkeypatch.setattr(fuzzy, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(fuzzy, "KEY_PAIRS", 2_000)
+    assert found(spark, queries, items) == want
+    q = spark.createDataFrame([(x,) for x in queries], "query string")
+    index = fuzzy.stage(fuzzy.dictionary_keys(words(spark, items)), "keys")
+    met = fuzzy._candidates(fuzzy.query_keys(q), index).groupBy("_key").agg(F.count("*").alias("n"))
+    heaviest = met.orderBy(F.desc("n")).first()
+    pairs = fuzzy._dealt(fuzzy.stage(fuzzy.query_keys(q), "q"), index)
+    slices = pairs[0].where(F.col("_key") == heaviest._key).select("_slice").distinct().count()
+    assert heaviest.n > 50_000 and slices >= heaviest.n // 2_000

@@ -21,6 +21,9 @@ from wordloom.staging import stage
 LONGEST_BY_DELETION = 16
 # Largest key table to broadcast, in rows of one word, one count and one hash.
 BROADCAST_KEYS = 1_000_000
+# Pairs of one key that one task compares; keys with more are dealt out. At most so many keys are: those with most pairs.
+KEY_PAIRS = 1_000_000
+DEALT_KEYS = 10_000
 _EDITS = 2
 
 
@@ -87,17 +90,44 @@ def query_keys(queries: DataFrame, longest: int = LONGEST_BY_DELETION) -> DataFr
     return short.unionByName(_segment_probes(q.where(n > longest - _EDITS), "query", longest))
 
 
-def _sized(index: DataFrame) -> DataFrame:
-    """The key table with the join strategy that its real size allows.
+def _dealt(queries: DataFrame, index: DataFrame) -> list[DataFrame]:
+    """Both key tables with ``_slice``, so that no task compares many more than ``KEY_PAIRS`` pairs of one key.
+
+    Very short words share few keys. The pairs of a key are known before the join: queries times dictionary words with it. The larger
+    side of a heavy key is cut into slices by hash and the smaller one is repeated for each slice, so every pair meets once. All
+    other keys have one slice.
+    """
+    counts = [side.groupBy("_key").agg(F.count(F.lit(1)).alias(n)) for side, n in ((queries, "_queries"), (index, "_words"))]
+    pairs = F.col("_queries") * F.col("_words")
+    heavy = counts[0].join(counts[1], "_key").where(pairs > KEY_PAIRS).orderBy(pairs.desc(), "_key").limit(DEALT_KEYS)
+    cut_words = F.col("_words") >= F.col("_queries")
+    slices = F.least(F.ceil(pairs / KEY_PAIRS).cast("int"), F.greatest("_queries", "_words").cast("int"))
+    heavy = stage(heavy.select("_key", slices.alias("_slices"), cut_words.alias("_cut_words")), "heavy-keys")
+    if heavy.isEmpty():
+        return [side.withColumn("_slice", F.lit(0)) for side in (queries, index)]
+
+    def sliced(side: DataFrame, word: str, is_cut: Column) -> DataFrame:
+        marked = side.join(F.broadcast(heavy), "_key", "left")
+        own = F.array(F.pmod(F.xxhash64(word), F.col("_slices")).cast("int"))
+        every = F.sequence(F.lit(0), F.col("_slices") - 1)
+        which = F.when(F.col("_slices").isNull(), F.array(F.lit(0))).when(is_cut, own).otherwise(every)
+        return marked.withColumn("_slice", F.explode(which)).drop("_slices", "_cut_words")
+
+    return [sliced(queries, "query", ~F.col("_cut_words")), sliced(index, "word", F.col("_cut_words"))]
+
+
+def _candidates(queries: DataFrame, index: DataFrame) -> DataFrame:
+    """The two key tables joined by the strategy that the real size of the index allows.
 
     The planner does not know that a table grows when keys are made from it,
     and would broadcast it by the size it had before. A staged table is counted
-    from its footers. Beyond the bound both sides are shuffled, and the index
+    from its footers. Beyond the bound both sides are shuffled, heavy keys in slices, and the index
     side, a bounded number of keys per dictionary word, is the hashed one.
     """
     if index.count() <= BROADCAST_KEYS:
-        return F.broadcast(index)
-    return index.hint("shuffle_hash")
+        return queries.join(F.broadcast(index), "_key")
+    queries, index = _dealt(stage(queries, "query-keys"), index)
+    return queries.join(index.hint("shuffle_hash"), ["_key", "_slice"]).drop("_slice")
 
 
 def fuzzy_join(
@@ -119,8 +149,7 @@ def fuzzy_join(
         keys = stage(dictionary_keys(dictionary, longest), "dictionary-keys")
     distance = F.levenshtein("query", "word", max_distance)
     close = (
-        query_keys(queries, longest)
-        .join(_sized(keys), "_key")
+        _candidates(query_keys(queries, longest), keys)
         .where(F.abs(F.length("query") - F.length("word")) <= max_distance)
         .where(distance >= 0)
         .select("query", "word", "freq")

@@ -7,19 +7,21 @@ import random
 import time
 from functools import reduce
 
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordloom import constants as K
+from wordloom import constants as K, storage
 from wordloom.operators import evaluate as ev
+from wordloom.operators.boosting import SoftmaxBoost, SoftmaxBoostModel
+from wordloom.operators.search import Found, halving_search
+from wordloom.staging import fresh_path
 
-# --- fixed values: search grids and fixed settings, in Spark ML's parameter names ----
-# Depth 35 is written as 30, the deepest tree Spark ML grows.
+# --- fixed values: search grids and fixed settings ----
+# "wide" and "regularized" are the published ones; "short" has fewer trees or rounds with a higher rate. Depth 35 is
+# written as 30, the deepest tree Spark ML grows.
 FOREST_GRIDS = {
     "wide": {
         "numTrees": [300, 500, 700], "maxDepth": [25, 30, 30], "minInstancesPerNode": [1, 2, 3],
@@ -29,31 +31,35 @@ FOREST_GRIDS = {
         "numTrees": [100, 200, 300], "maxDepth": [10, 15, 20], "minInstancesPerNode": [5, 10, 15],
         "featureSubsetStrategy": ["sqrt", "0.5"], "minInfoGain": [0.001, 0.005, 0.01],
     },
+    "short": {
+        "numTrees": [45], "maxDepth": [10, 12], "minInstancesPerNode": [5, 10, 15],
+        "featureSubsetStrategy": ["sqrt", "0.5"], "minInfoGain": [0.0, 0.0001, 0.001],
+    },
     "smoke": {"numTrees": [5, 8], "maxDepth": [4, 6], "featureSubsetStrategy": ["sqrt"]},
 }
 BOOST_GRIDS = {
     "wide": {
-        "maxIter": [500, 700, 1000], "maxDepth": [8, 10, 12], "stepSize": [0.05, 0.07, 0.1],
-        "subsamplingRate": [0.8, 0.9], "featureSubsetStrategy": ["0.8", "0.9"],
-        "minInstancesPerNode": [1, 3, 5], "minInfoGain": [0.0, 0.1, 0.2],
+        "rounds": [500, 700, 1000], "depth": [8, 10, 12], "rate": [0.05, 0.07, 0.1], "rows": [0.8, 0.9], "columns": [0.8, 0.9],
+        "child_weight": [1, 3, 5], "gamma": [0.0, 0.1, 0.2], "l1": [0.0, 0.01, 0.1], "l2": [1.0, 1.5, 2.0],
     },
     "regularized": {
-        "maxIter": [300, 500], "maxDepth": [4, 6, 8], "stepSize": [0.01, 0.03, 0.05],
-        "subsamplingRate": [0.6, 0.7, 0.8], "featureSubsetStrategy": ["0.6", "0.7", "0.8"],
-        "minInstancesPerNode": [5, 10, 15], "minInfoGain": [0.1, 0.3, 0.5],
+        "rounds": [300, 500], "depth": [4, 6, 8], "rate": [0.01, 0.03, 0.05], "rows": [0.6, 0.7, 0.8], "columns": [0.6, 0.7, 0.8],
+        "child_weight": [5, 10, 15], "gamma": [0.1, 0.3, 0.5], "l1": [0.1, 0.5, 1.0], "l2": [2.0, 3.0, 5.0],
+    },
+    "short": {
+        "rounds": [9], "depth": [4, 5], "rate": [0.5, 0.6, 0.7], "rows": [0.8, 0.9], "columns": [0.8, 0.9],
+        "child_weight": [1, 3, 5], "gamma": [0.0, 0.1, 0.2], "l1": [0.0, 0.01, 0.1], "l2": [1.0, 1.5, 2.0],
     },
-    "smoke": {"maxIter": [2, 3], "maxDepth": [3], "stepSize": [0.3]},
+    "smoke": {"rounds": [2, 3], "depth": [3], "rate": [0.3]},
 }
+# Trees of 63 leaves are trees of depth 6 here.
 BOOST_FIXED = {
-    "wide": {"maxIter": 1000, "maxDepth": 15, "stepSize": 0.05, "subsamplingRate": 0.8,
-             "featureSubsetStrategy": "0.8", "minInstancesPerNode": 20},
-    "regularized": {"maxIter": 500, "maxDepth": 10, "stepSize": 0.03, "subsamplingRate": 0.7,
-                    "featureSubsetStrategy": "0.7", "minInstancesPerNode": 30},
-    "smoke": {"maxIter": 4, "maxDepth": 4, "stepSize": 0.3},
+    "wide": {"rounds": 1000, "depth": 6, "leaves": 63, "rate": 0.05, "rows": 0.8, "columns": 0.8, "child_weight": 20, "l1": 0.1, "l2": 0.1, "patience": 100},
+    "regularized": {"rounds": 500, "depth": 5, "leaves": 31, "rate": 0.03, "rows": 0.7, "columns": 0.7, "child_weight": 30, "l1": 0.3, "l2": 0.3, "patience": 100},
+    "short": {"rounds": 20, "depth": 5, "rate": 0.5, "rows": 0.8, "columns": 0.8, "child_weight": 20, "l1": 0.1, "l2": 0.1, "patience": 5},
+    "smoke": {"rounds": 4, "depth": 4, "rate": 0.3},
 }
 SEARCH_SETTINGS = {"forest": 15, "boost": 20}
-FOLDS = 3
-PARALLEL_FITS = 2
 EARLY_STOP_TOLERANCE = 0.01
 # Most labelled rows that a model is fitted on; beyond it a hash of the id chooses.
 FIT_ROWS = 20_000
@@ -190,66 +196,59 @@ class PerClassBoostModel(Model):
 
 
 def save_model(model, path: str) -> None:
-    if isinstance(model, PerClassBoostModel):
+    if isinstance(model, (PerClassBoostModel, SoftmaxBoostModel)):
         model.save(path)
     else:
         PipelineModel(stages=[model]).write().overwrite().save(path)
 
 
 def load_model(path: str):
-    """A saved model of either kind."""
+    """A saved model of any kind."""
     spark = SparkSession.active()
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/meta")
-    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    return PerClassBoostModel.load(path) if files.exists(hadoop) else PipelineModel.load(path)
+    if storage.exists(spark, f"{path}/softmax.json"):
+        return SoftmaxBoostModel.load(path)
+    return PerClassBoostModel.load(path) if storage.exists(spark, f"{path}/meta") else PipelineModel.load(path)
 
 
 def load_models(root: str, names: list[str]) -> dict:
     """Those of the named models that exist under ``root``."""
     spark = SparkSession.active()
-    found = {}
-    for name in names:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
-        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-            found[name] = load_model(f"{root}/{name}")
-    return found
+    return {name: load_model(f"{root}/{name}") for name in names if storage.exists(spark, f"{root}/{name}")}
 
 
-def random_search(make, grid: dict[str, list], count: int, train: DataFrame, seed: int = K.SEED):
-    """(best setting, its cross-validated weighted F1, refitted model). Folds come from a hash of the id."""
+def random_search(
+    make, grid: dict[str, list], count: int, train: DataFrame, budget: str, path: str | None = None, seed: int = K.SEED
+) -> Found:
+    """Search ``count`` settings of a grid on the bounded rows; with ``path`` an earlier search there goes on."""
     settings = sampled_settings(grid, count, seed)
-    folded = bounded(train).withColumn("_fold", (F.abs(F.xxhash64("id", F.lit(seed))) % FOLDS).cast("int"))
-    evaluator = MulticlassClassificationEvaluator(metricName="f1")
-    pipeline = Pipeline(stages=[])
-    maps = [{pipeline.stages: [make(**s)]} for s in settings]
-    search = CrossValidator(
-        estimator=pipeline, estimatorParamMaps=maps, evaluator=evaluator, numFolds=FOLDS,
-        parallelism=PARALLEL_FITS, foldCol="_fold", seed=seed,
-    )
-    model = search.fit(folded)
-    best = max(range(len(settings)), key=lambda i: model.avgMetrics[i])
-    return settings[best], model.avgMetrics[best], model.bestModel.stages[-1]
+    return halving_search(make, settings, budget, bounded(train), path or fresh_path(train.sparkSession, "search"), seed=seed)
 
 
-def train_forest(train: DataFrame, preset: str = "wide", settings: int | None = None):
+def search_forest(train: DataFrame, preset: str = "wide", settings: int | None = None, path: str | None = None) -> Found:
     """Searched random forest on balanced class weights."""
     count = settings or SEARCH_SETTINGS["forest"]
-    _, _, model = random_search(forest, FOREST_GRIDS[preset], count, with_weights(train))
-    return model
+    return random_search(forest, FOREST_GRIDS[preset], count, with_weights(train), "numTrees", path)
+
 
+def train_forest(train: DataFrame, preset: str = "wide", settings: int | None = None, path: str | None = None):
+    return search_forest(train, preset, settings, path).model
 
-def train_boost_searched(train: DataFrame, classes: int, preset: str = "wide", settings: int | None = None):
-    """Searched boosted trees."""
+
+def search_boost(train: DataFrame, classes: int, preset: str = "wide", settings: int | None = None, path: str | None = None) -> Found:
+    """Searched softmax boosting."""
     count = settings or SEARCH_SETTINGS["boost"]
-    make = lambda **s: PerClassBoost(classes, **s)
-    _, _, model = random_search(make, BOOST_GRIDS[preset], count, train)
-    return model
+    make = lambda **s: SoftmaxBoost(classes, **s)
+    return random_search(make, BOOST_GRIDS[preset], count, train, "rounds", path)
+
+
+def train_boost_searched(train: DataFrame, classes: int, preset: str = "wide", settings: int | None = None, path: str | None = None):
+    return search_boost(train, classes, preset, settings, path).model
 
 
-def train_boost_fixed(rows: DataFrame, classes: int, preset: str = "wide"):
-    """Boosted trees with fixed settings; rows of the validation split decide when to stop."""
+def train_boost_fixed(rows: DataFrame, classes: int, preset: str = "wide") -> SoftmaxBoostModel:
+    """Softmax boosting with fixed settings; rows of the validation split decide when to stop and which rounds are kept."""
     flagged = bounded(rows.where(F.col("split") != "test")).withColumn("is_val", F.col("split") == "val")
-    return PerClassBoost(classes, "is_val", **BOOST_FIXED[preset]).fit(flagged)
+    return SoftmaxBoost(classes, "is_val", **BOOST_FIXED[preset]).fit(flagged)
 
 
 def predictions(model, rows: DataFrame, name: str) -> DataFrame:
@@ -270,7 +269,8 @@ def importance(model, spark: SparkSession, features: tuple[str, ...] = K.FEATURE
     """(feature, importance), descending. One value per feature, so it is built from the model."""
     if isinstance(model, PipelineModel):
         model = model.stages[-1]
-    values = model.importances if isinstance(model, PerClassBoostModel) else model.featureImportances.toArray()
+    own = isinstance(model, (PerClassBoostModel, SoftmaxBoostModel))
+    values = model.importances if own else model.featureImportances.toArray()
     rows = [(f, float(v)) for f, v in zip(features, values)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
@@ -325,6 +325,7 @@ class ErrorTyper:
 
 
 def train_error_typer(prepared: DataFrame, encoders: DataFrame, scaler: DataFrame, classes: int, preset: str = "wide") -> ErrorTyper:
+    """An error typer on the boosted trees of fixed settings; ``bundle.Bundle.typer`` makes one of any saved model."""
     return ErrorTyper(train_boost_fixed(load_xy(prepared), classes, preset), encoders, scaler)
 
 
