@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from wordloom import constants as K
 from wordloom.functions import features as ft
@@ -16,11 +16,11 @@ from wordloom.functions import text as tx
 from wordloom.functions import typos
 from wordloom.functions.plan import pinned
 from wordloom.operators import (
-    corpus, correct, ensemble, evaluate as ev, extras, fuzzy, lookup, models, prepare, profiles,
-    ranking, synth,
+    bundle, corpus, correct, ensemble, evaluate as ev, extras, fuzzy, lookup, models, prepare, profiles,
+    ranking, search, synth,
 )
 from wordloom.plans import inputs
-from wordloom.sources import files, tables
+from wordloom.sources import files, results, tables
 from wordloom.staging import fresh_path, stage
 from wordloom.streaming import sentences as sentence_stream
 from wordloom.streaming import words as word_stream
@@ -54,6 +54,9 @@ def _(spark, sf):
     return files.round_trip(tables.wiki_pages(spark, sf), "pages-xml", files.write_wiki_xml, files.read_wiki_xml)
 
 
+simple("src_wiki_xml_damaged", lambda spark, sf: files.read_wiki_pages(spark, inputs.damaged_dump(spark, sf)))
+
+
 @query("src_word_list")
 def _(spark, sf):
     return files.round_trip(
@@ -71,14 +74,33 @@ def _(spark, sf):
     return files.round_trip(inputs.dataset(spark, sf), "dataset-csv", files.write_dataset_csv, files.read_dataset_csv)
 
 
+@query("src_dataset_csv_checked")
+def _(spark, sf):
+    """Every line of a damaged dataset: as a sample, or with what is wrong with it."""
+    good, rejected = files.read_dataset_csv_checked(spark, inputs.damaged_csv(spark, sf), header=False)
+    nothing = F.lit(None).cast("string")
+    return good.select("id", "incorrect_word", nothing.alias("reason"), nothing.alias("line")).unionByName(rejected, allowMissingColumns=True)
+
+
+def _differing(made: DataFrame, read: DataFrame, name: str) -> DataFrame:
+    """(model, split, rows, differing): rows whose prediction is another one after reading a model back."""
+    both = made.select("id", "split", F.col("prediction").alias("one")).join(read.select("id", F.col("prediction").alias("two")), "id")
+    return both.groupBy(F.lit(name).alias("model"), "split").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("one") != F.col("two")).alias("differing")
+    )
+
+
 @query("src_model")
 def _(spark, sf):
-    rows, _, _ = inputs.prepared(spark, sf)
-    xy = models.load_xy(rows)
-    root = fresh_path(spark, "models")
-    models.save_model(models.train_boost_fixed(xy, len(inputs.CLASSES), "smoke"), f"{root}/boost_fixed")
-    found = models.load_models(root, ["random_forest", "boost_fixed"])
-    return models.predictions(found["boost_fixed"], xy, "boost_fixed").drop("probabilities")
+    """Models and ensemble in memory next to the newest published version of their bundle."""
+    made, xy = inputs.trained_bundle(spark, sf)
+    root = fresh_path(spark, "bundles")
+    bundle.publish(spark, root, made)
+    read = bundle.load(spark, root)
+    parts = [_differing(models.predictions(made.models[m], xy, m), models.predictions(read.models[m], xy, m), m) for m in made.models]
+    splits = xy.select("id", "split")
+    votes = [splits.join(b.votes(xy), "id") for b in (made, read)]
+    return parts[0].unionByName(parts[1]).unionByName(_differing(*votes, "ensemble"))
 
 
 @query("sink_vocab_thresholds")
@@ -116,16 +138,30 @@ def _(spark, sf):
 
 @query("sink_model")
 def _(spark, sf):
-    rows, _, _ = inputs.prepared(spark, sf)
-    xy = models.load_xy(rows)
-    path = fresh_path(spark, "models") + "/random_forest"
-    models.save_model(models.train_forest(xy.where(F.col("split") == "train"), "smoke", 1), path)
-    return models.predictions(models.load_model(path), xy, "random_forest").drop("probabilities")
+    """What two published versions hold: the second lacks a model that does not vote, and its score."""
+    made, xy = inputs.trained_bundle(spark, sf)
+    root = fresh_path(spark, "bundles")
+    bundle.publish(spark, root, made)
+    voter = {"random_forest": made.models["random_forest"]}
+    bundle.publish(spark, root, bundle.Bundle(voter, made.encoders, made.scaler, members=("random_forest",)))
+    rows = []
+    for number in bundle.versions(spark, root):
+        read = bundle.load(spark, root, number)
+        weights = {r.model: r.weight for r in read.weights(spark).collect()}
+        rows += [(number, m, m in read.f1, abs(sum(weights.values()) - 1) < 1e-9) for m in sorted(read.models)]
+    told = spark.createDataFrame(rows, "version INT, model STRING, scored BOOLEAN, weights_sum_to_one BOOLEAN")
+    return told.withColumn("encoders", made.encoders.agg(F.count(F.lit(1))).scalar())
 
 
 @query("sink_results")
 def _(spark, sf):
-    return stage(ev.metrics(inputs.rule_predictions(spark, sf)), "results")
+    """The result files of a run, read back: metrics of each model and the comparison, in long form."""
+    preds = inputs.rule_predictions(spark, sf)
+    path = fresh_path(spark, "results")
+    results.write_results(path, preds)
+    metrics, comparison, _, _ = results.read_results(spark, path)
+    long = [df.unpivot(["model"], [c for c in df.columns if c not in ("model", "place")], "metric", "value") for df in (metrics, comparison)]
+    return long[0].withColumn("file", F.lit("metrics")).unionByName(long[1].withColumn("file", F.lit("comparison")))
 
 
 @query("sink_report")
@@ -134,11 +170,13 @@ def _(spark, sf):
     return stage(
         profiles.report({
             "overview": profiles.basic(words).unpivot([], ["unique_words", "occurrences", "frequent_words"], "k", "v"),
-            "lengths": profiles.length_distribution(words).select("len", "n"),
+            "length_stats": profiles.one_row_long(profiles.length_stats(words)),
+            "lengths": profiles.length_distribution(words),
+            "frequency_stats": profiles.one_row_long(profiles.frequency_stats(words)),
             "top": ranking.top_words(words),
             "bottom": ranking.bottom_words(words),
             "bins": profiles.frequency_bins(words).select("label", "n"),
-            "letters": profiles.first_letters(words).select("letter", "n"),
+            "letters": profiles.first_letters(words),
         }),
         "report",
     )
@@ -209,7 +247,7 @@ def _(spark, sf):
 
 @query("flt_article_cap")
 def _(spark, sf):
-    return corpus.accepted_articles(tables.wiki_pages(spark, sf), 100).select("doc_id", F.size("words").alias("words"))
+    return corpus.first_articles(tables.wiki_pages(spark, sf), 100).select("doc_id", F.size("words").alias("words"))
 
 
 simple("flt_min_freq", lambda spark, sf: corpus.at_least(inputs.vocab(spark, sf), 10))
@@ -574,40 +612,80 @@ def _(spark, sf):
 simple("ml_class_weight", lambda spark, sf: models.class_weights(inputs.dataset(spark, sf), "error_type"))
 
 
+def _checked(preds: DataFrame) -> DataFrame:
+    """(model, split, label, rows, valid, better): predictions per label; ``valid`` ones name a class and have probabilities that
+    sum to one, ``better`` is whether more rows of the split are right than lie in its largest class.
+    """
+    valid = F.col("prediction").between(0, len(inputs.CLASSES) - 1) & (F.abs(F.aggregate("probabilities", F.lit(0.0), lambda s, v: s + v) - 1) < 1e-9)
+    counted = preds.groupBy("model", "split", "label").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(valid).alias("valid"), F.count_if(F.col("label") == F.col("prediction")).alias("hits")
+    )
+    whole = Window.partitionBy("model", "split")
+    return counted.withColumn("better", F.sum("hits").over(whole) > F.max("rows").over(whole)).drop("hits")
+
+
+def _train_rows(spark, sf):
+    xy = stage(_xy(spark, sf), "model-rows")
+    return xy, xy.where(F.col("split") == "train")
+
+
 @query("ml_random_search")
 def _(spark, sf):
-    train = _xy(spark, sf).where(F.col("split") == "train")
-    setting, f1, _ = models.random_search(
-        models.forest, models.FOREST_GRIDS["smoke"], 2, models.with_weights(train)
+    """The ledger of a search by rung, after the search has been run again on it."""
+    _, train = _train_rows(spark, sf)
+    path = fresh_path(spark, "search")
+    settings = models.SEARCH_SETTINGS["forest"]
+    first = models.search_forest(train, "smoke", settings, path)
+    again = models.search_forest(train, "smoke", settings, path)
+    ledger = search.read_ledger(spark, path)
+    return ledger.groupBy("rung").agg(
+        F.countDistinct("setting").alias("settings"), F.count(F.lit(1)).alias("measurements"),
+        F.count_if(F.col("f1").between(0, 1) & (F.col("seconds") > 0)).alias("valid"),
+        F.lit(first.setting == again.setting and first.f1 == again.f1).alias("taken_over"),
     )
-    rows = [(k, str(v)) for k, v in setting.items()] + [("f1", str(f1))]
-    return spark.createDataFrame(rows, "key string, value string")
 
 
 def _trained(name, train):
     @query(name)
     def _(spark, sf):
-        xy = _xy(spark, sf)
-        return models.predictions(train(xy), xy, name).drop("probabilities")
+        xy, rows = _train_rows(spark, sf)
+        return _checked(models.predictions(train(xy, rows), xy, name))
+
+
+_trained("ml_rf", lambda xy, train: models.train_forest(train, "short", 3))
+_trained("ml_gbt_level", lambda xy, train: models.train_boost_searched(train, len(inputs.CLASSES), "short", 3))
 
 
-_trained("ml_rf", lambda xy: models.train_forest(xy.where(F.col("split") == "train"), "smoke", 2))
-_trained("ml_gbt_level", lambda xy: models.train_boost_searched(
-    xy.where(F.col("split") == "train"), len(inputs.CLASSES), "smoke", 1))
-_trained("ml_gbt_fixed", lambda xy: models.train_boost_fixed(xy, len(inputs.CLASSES), "smoke"))
+@query("ml_gbt_fixed")
+def _(spark, sf):
+    """As the others, and whether the kept round is the first one of the smallest validation loss."""
+    xy, _ = _train_rows(spark, sf)
+    model = models.train_boost_fixed(xy, len(inputs.CLASSES), "short")
+    curve = model.curve(spark)
+    first = curve.agg(F.min_by("round", F.struct("loss", "round"))).scalar()
+    kept = curve.where("kept").agg(F.max("round")).scalar()
+    return _checked(models.predictions(model, xy, "ml_gbt_fixed")).withColumn("best_round_kept", kept == first)
 
 
 @query("ml_importance")
 def _(spark, sf):
-    xy = _xy(spark, sf)
-    return models.importance(models.train_forest(xy.where(F.col("split") == "train"), "smoke", 1), spark)
+    """Every feature, whether its importance is a share, and whether all shares sum to one."""
+    _, train = _train_rows(spark, sf)
+    shares = stage(models.importance(models.train_forest(train, "smoke", 1), spark), "importance")
+    total = shares.agg(F.sum("importance")).scalar()
+    return shares.select("feature", F.col("importance").between(0, 1).alias("is_share"), (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
 
 
 @query("ml_predict")
 def _(spark, sf):
-    xy = _xy(spark, sf)
+    """Probabilities in long form, summed up: rows per class, and ids whose classes sum to one."""
+    xy, _ = _train_rows(spark, sf)
     model = models.train_boost_fixed(xy, len(inputs.CLASSES), "smoke")
-    return models.probability_rows(models.predictions(model, xy, "boost_fixed"))
+    long = models.probability_rows(models.predictions(model, xy, "boost_fixed"))
+    of_id = long.groupBy("model", "id").agg(F.sum("p").alias("total"), F.count(F.lit(1)).alias("classes"))
+    return of_id.groupBy("model").agg(
+        F.count(F.lit(1)).alias("ids"), F.sum("classes").alias("probabilities"), F.count_if(F.abs(F.col("total") - 1) < 1e-9).alias("whole")
+    )
 
 
 def _val_metrics(spark, sf):
@@ -693,12 +771,15 @@ def _(spark, sf):
     return correct.top_corrections(pairs)
 
 
+def _listed(checked: DataFrame) -> DataFrame:
+    listed = F.transform("corrections", lambda c: F.concat_ws(":", c["word"], c["distance"].cast("string"), c["frequency"].cast("string")))
+    return checked.withColumn("corrections", F.array_join(listed, ","))
+
+
 @query("cor_word")
 def _(spark, sf):
     requests = inputs.query_words(spark, sf).select(F.col("query").alias("word"))
-    checked = correct.check_words(requests, inputs.dictionary(spark, sf))
-    listed = F.transform("corrections", lambda c: F.concat_ws(":", c["word"], c["distance"].cast("string"), c["frequency"].cast("string")))
-    return checked.withColumn("corrections", F.array_join(listed, ","))
+    return _listed(correct.check_words(requests, inputs.dictionary(spark, sf)))
 
 
 @query("cor_case")
@@ -740,21 +821,54 @@ def _(spark, sf):
     return _flat_errors(checked)
 
 
+def _typer(spark, sf):
+    return inputs.trained_bundle(spark, sf)[0].typer("boost_fixed")
+
+
+def _is_type(kind: Column, confidence: Column) -> Column:
+    return kind.isin(*inputs.CLASSES) & confidence.between(1 / len(inputs.CLASSES), 1)
+
+
 @query("cor_error_type")
 def _(spark, sf):
+    """The best correction of every unknown word, and whether it has a type, a confidence and whole probabilities."""
     words = inputs.dictionary(spark, sf)
     pairs = fuzzy.fuzzy_join(_unknown_lowers(spark, sf, words), words)
-    best = correct.top_corrections(pairs, 1).select(
+    best = stage(correct.top_corrections(pairs, 1).select(
         F.col("word").alias("correct_word"), F.col("query").alias("incorrect_word"), "distance"
-    )
-    typer = models.train_error_typer(*inputs.prepared(spark, sf), len(inputs.CLASSES), "smoke")
-    return models.error_types(best, typer).withColumn("probabilities", F.to_json("probabilities"))
+    ), "best")
+    typed = models.error_types(best, _typer(spark, sf))
+    total = F.aggregate(F.map_values("probabilities"), F.lit(0.0), lambda s, v: s + v)
+    is_typed = _is_type(F.col("error_type"), F.col("confidence")) & (F.abs(total - 1) < 1e-9)
+    return best.join(typed.withColumn("typed", is_typed), ["correct_word", "incorrect_word"]).select("correct_word", "incorrect_word", "distance", "typed")
+
+
+@query("cor_word_typed")
+def _(spark, sf):
+    """``cor_word`` with error types: each word that has a correction has a type."""
+    requests = inputs.query_words(spark, sf).select(F.col("query").alias("word"))
+    checked = correct.check_words(requests, inputs.dictionary(spark, sf), typer=_typer(spark, sf))
+    typed = F.coalesce(_is_type(F.col("error_type"), F.col("confidence")), F.lit(False))
+    return _listed(checked.withColumn("typed", typed)).select("word", "status", "is_correct", "corrections", "typed")
+
+
+def _typed_errors(checked: DataFrame) -> DataFrame:
+    typed = F.size(F.filter("errors", lambda e: _is_type(e["error_type"], e["confidence"])))
+    return _flat_errors(checked.withColumn("typed", typed))
+
+
+@query("cor_sentence_typed")
+def _(spark, sf):
+    """``cor_sentence`` with the number of errors that have a type."""
+    return _typed_errors(correct.check_sentences(
+        inputs.sentences(spark, sf), ["conv_id", "turn"], inputs.dictionary(spark, sf), typer=_typer(spark, sf)
+    ))
 
 
 # --- streaming -----------------------------------------------------------------------------------------------------------
 
 simple("st_word_count", lambda spark, sf: word_stream.run_word_count(word_stream.article_stream(spark, sf)))
-simple("st_snapshot", lambda spark, sf: word_stream.run_snapshots(word_stream.article_stream(spark, sf)))
+simple("st_snapshot", lambda spark, sf: word_stream.run_snapshots(word_stream.article_stream(spark, sf), every=200))
 simple("st_snapshot_blocks", lambda spark, sf: corpus.snapshots(tables.articles(spark, sf), every=200))
 
 
@@ -766,3 +880,11 @@ def _(spark, sf):
     return _flat_errors(
         sentence_stream.run_corrections(turns, ["conv_id", "turn"], inputs.dictionary(spark, sf))
     )
+
+
+@query("st_correct_typed")
+def _(spark, sf):
+    turns = sentence_stream.sentence_stream(spark, sf, "conversations").select("conv_id", "turn", F.col("text").alias("sentence"))
+    return _typed_errors(
+        sentence_stream.run_corrections(turns, ["conv_id", "turn"], inputs.dictionary(spark, sf), _typer(spark, sf))
+    )

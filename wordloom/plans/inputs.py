@@ -8,9 +8,9 @@ from wordloom import constants as K
 from wordloom.functions import features as ft
 from wordloom.functions import text as tx
 from wordloom.functions.draws import below, chance, draw
-from wordloom.operators import corpus, prepare, ranking, synth
+from wordloom.operators import bundle, corpus, evaluate as ev, models, prepare, ranking, synth
 from wordloom.sources import tables
-from wordloom.staging import stage
+from wordloom.staging import fresh_path, stage
 
 
 def vocab(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,6 +74,59 @@ def prepared(spark: SparkSession, sf: str, fit_on: str = "all") -> tuple[DataFra
     return stage(prepare.scale(split, scaler), "prepared"), encoders, scaler
 
 
+def damaged_dump(spark: SparkSession, sf: str) -> str:
+    """Folder of an XML dump of the wiki pages in which four of ten pages are damaged, by the last digit of their id.
+
+    3: cut off behind the text. 5: text and revision not closed. 7: revision not closed. 9: no title, an unknown tag not closed.
+    """
+    pages, last = tables.wiki_pages(spark, sf), F.col("doc_id") % 10
+    body = F.col("text")
+    for mark, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        body = F.replace(body, F.lit(mark), F.lit(entity))
+    no_end = last.isin(3, 5, 7)
+    text = F.concat(F.lit('<text xml:space="preserve">'), body, F.when(last == 5, "").otherwise("</text>"))
+    title = F.when(last == 9, F.lit("<titel>")).otherwise(F.concat(F.lit("<title>"), "title", F.lit("</title>")))
+    page = F.concat(
+        F.lit("<page>\n<id>"), F.col("doc_id").cast("string"), F.lit("</id>"), title, F.lit("<revision>"), F.coalesce(text, F.lit("")),
+        F.when(no_end, "").otherwise("</revision>"), F.when(last == 3, "").otherwise("</page>"),
+    )
+    path = fresh_path(spark, "damaged-xml")
+    pages.select(page.alias("value")).write.text(path)
+    return path
+
+
+def damaged_csv(spark: SparkSession, sf: str) -> str:
+    """Folder of the dataset as CSV without headers in which four of ten lines are damaged, by the last digit of their id.
+
+    1: a letter in a number. 2: two columns missing. 3: a column too many. 4: an empty word.
+    """
+    rows, last = dataset(spark, sf), F.col("id") % 10
+    columns = ["id", "correct_word", "incorrect_word", "error_type", "edit_distance", "word_length", "word_frequency"]
+    text = {c: F.col(c).cast("string") for c in columns}
+    text["edit_distance"] = F.when(last == 1, F.concat(F.lit("x"), text["edit_distance"])).otherwise(text["edit_distance"])
+    text["correct_word"] = F.when(last == 4, "").otherwise(text["correct_word"])
+    line = F.concat_ws(",", *text.values())
+    line = F.when(last == 2, F.concat_ws(",", *list(text.values())[:-2])).when(last == 3, F.concat(line, F.lit(",more"))).otherwise(line)
+    path = fresh_path(spark, "damaged-csv")
+    rows.select(line.alias("line")).write.text(path)
+    return path
+
+
+# --- models ------------------------------------------------------------------
+
+def trained_bundle(spark: SparkSession, sf: str, preset: str = "smoke") -> tuple[bundle.Bundle, DataFrame]:
+    """(a forest and boosted trees on the prepared rows with the scores of both, not published yet; rows for them)."""
+    rows, encoders, scaler = prepared(spark, sf)
+    xy = stage(models.load_xy(rows), "model-rows")
+    found = {
+        "random_forest": models.train_forest(xy.where(F.col("split") == "train"), "smoke", 1),
+        "boost_fixed": models.train_boost_fixed(xy, len(CLASSES), preset),
+    }
+    preds = [models.predictions(m, xy.where(F.col("split") == "val"), name) for name, m in found.items()]
+    scores = {r.model: r.f1 for r in ev.metrics(preds[0].unionByName(preds[1])).collect()}
+    return bundle.Bundle(found, encoders, scaler, scores, tuple(found)), xy
+
+
 # --- evaluation inputs -----------------------------------------------------------
 
 CLASSES = ("correct", "deletion", "insertion", "substitution")

@@ -413,30 +413,51 @@ def add(name: str, ctes: str, body: str) -> None:
 # --- sources and sinks ---------------------------------------------------------------------------------
 
 add("src_wiki_xml", WIKI, "SELECT doc_id, title, text FROM wiki")
+add("src_wiki_xml_damaged", WIKI, """SELECT doc_id, CASE WHEN doc_id % 10 <> 9 THEN title END AS title, text,
+    CASE WHEN doc_id % 10 IN (3, 5, 7) THEN 'salvaged' WHEN doc_id % 10 = 9 THEN 'lost' ELSE 'intact' END AS state FROM wiki""")
 add("src_word_list", VOCAB, "SELECT word FROM vocab")
 add("src_freq_map", VOCAB, "SELECT word, freq FROM vocab")
 add("src_dataset_csv", DATASET, "SELECT * FROM dataset")
+add("src_dataset_csv_checked", DATASET, """SELECT CASE WHEN id % 10 NOT IN (1, 2, 3, 4) THEN id END AS id, CASE WHEN id % 10 NOT IN (1, 2, 3, 4) THEN incorrect_word END AS incorrect_word,
+  CASE id % 10 WHEN 1 THEN 'number' WHEN 2 THEN 'columns' WHEN 3 THEN 'columns' WHEN 4 THEN 'missing' END AS reason,
+  CASE id % 10 WHEN 1 THEN concat_ws(',', id, correct_word, incorrect_word, error_type, 'x' || edit_distance, word_length, word_frequency)
+    WHEN 2 THEN concat_ws(',', id, correct_word, incorrect_word, error_type, edit_distance)
+    WHEN 3 THEN concat_ws(',', id, correct_word, incorrect_word, error_type, edit_distance, word_length, word_frequency, 'more')
+    WHEN 4 THEN concat_ws(',', id, '', incorrect_word, error_type, edit_distance, word_length, word_frequency) END AS line FROM dataset""")
 add("sink_vocab_thresholds", VOCAB, "SELECT word, freq, min_freq FROM vocab JOIN (SELECT unnest([5, 10, 20, 50])::INTEGER AS min_freq) ON freq >= min_freq")
 add("sink_dictionary", VOCAB, f"SELECT word FROM vocab ORDER BY freq DESC, word LIMIT {K.DICTIONARY_SIZE}")
 add("sink_dataset", DATASET, "SELECT * FROM dataset ORDER BY id LIMIT 100")
 add("sink_splits", f"{ENCODED}, {GROUPS}", "SELECT e.*, s.split FROM encoded e JOIN split s USING (id)")
 add("sink_encoders", FEATURED, " UNION ALL ".join(
     f"SELECT DISTINCT {q(c)} AS \"column\", {c} AS label, (dense_rank() OVER (ORDER BY {c}) - 1)::INTEGER AS code FROM featured" for c in ENCODED_COLUMNS))
-add("sink_results", PREDS, f"SELECT model, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM ({metrics('preds')})")
-
 _BIN = " ".join(
     f"WHEN freq > {low}" + (f" AND freq <= {high}" if high else "") + f" THEN {i}" for i, (low, high, _) in enumerate(K.FREQ_BINS))
 BINS = f"""{VOCAB},
 bins AS (SELECT i AS bin, labels[i + 1] AS label FROM (SELECT unnest(range({len(K.FREQ_BINS)})) AS i, [{', '.join(q(b[2]) for b in K.FREQ_BINS)}] AS labels)),
 binned AS (SELECT b.bin::INTEGER AS bin, b.label, count(v.bin)::BIGINT AS n FROM bins b LEFT JOIN (SELECT CASE {_BIN} END AS bin FROM vocab) v ON v.bin = b.bin GROUP BY b.bin, b.label)"""
-add("sink_report", BINS, """SELECT 'overview' AS section, k || '.v' AS key, v::VARCHAR AS value FROM (
+_F4 = "format('{{:.4f}}', ({0})::DOUBLE)"
+
+
+def _one_row(section: str, ord: int, columns: dict[str, str], source: str) -> str:
+    return " UNION ALL ".join(f"SELECT {q(section)} AS section, {ord} AS ord, {q(k + '.v')} AS key, {_F4.format(v)} AS value FROM {source}" for k, v in columns.items())
+
+
+def _share_rows(section: str, ord: int, key: str, more: str = "") -> str:
+    counted = f"(SELECT {key} AS k, count(*) AS n FROM vocab GROUP BY {key} {more})"
+    return (f"SELECT {q(section)}, {ord}, k || '.n', n::VARCHAR FROM {counted} UNION ALL "
+            f"SELECT {q(section)}, {ord}, k || '.pct', {_F4.format('n * 100.0::DOUBLE / (SELECT count(*) FROM vocab)')} FROM {counted}")
+
+
+add("sink_report", BINS, "SELECT section, ord::INTEGER AS ord, key, value FROM (" + f"""SELECT 'overview' AS section, 1 AS ord, k || '.v' AS key, v::VARCHAR AS value FROM (
     SELECT 'unique_words' AS k, count(*)::BIGINT AS v FROM vocab UNION ALL SELECT 'occurrences', sum(freq)::BIGINT FROM vocab
     UNION ALL SELECT 'frequent_words', count(*) FILTER (WHERE freq >= 10) FROM vocab)
-  UNION ALL (SELECT 'lengths', length(word) || '.n', count(*)::VARCHAR FROM vocab GROUP BY length(word) ORDER BY length(word) LIMIT 15)
-  UNION ALL (SELECT 'top', word || '.freq', freq::VARCHAR FROM vocab ORDER BY freq DESC, word LIMIT 20)
-  UNION ALL (SELECT 'bottom', word || '.freq', freq::VARCHAR FROM vocab ORDER BY freq, word LIMIT 20)
-  UNION ALL SELECT 'bins', label || '.n', n::VARCHAR FROM binned
-  UNION ALL SELECT 'letters', left(word, 1) || '.n', count(*)::VARCHAR FROM vocab GROUP BY left(word, 1)""")
+  UNION ALL {_one_row('length_stats', 2, {'mean_length': 'avg(length(word))', 'median_length': 'quantile_cont(length(word)::DOUBLE, 0.5)', 'min_length': 'min(length(word))', 'max_length': 'max(length(word))', 'std_length': 'stddev_samp(length(word))'}, 'vocab')}
+  UNION ALL {_share_rows('lengths', 3, 'length(word)', 'ORDER BY length(word) LIMIT 15')}
+  UNION ALL {_one_row('frequency_stats', 4, {'mean_freq': 'avg(freq)', 'median_freq': 'quantile_cont(freq::DOUBLE, 0.5)', 'max_freq': 'max(freq)', 'min_freq': 'min(freq)'}, 'vocab')}
+  UNION ALL (SELECT 'top', 5, word || '.freq', freq::VARCHAR FROM vocab ORDER BY freq DESC, word LIMIT 20)
+  UNION ALL (SELECT 'bottom', 6, word || '.freq', freq::VARCHAR FROM vocab ORDER BY freq, word LIMIT 20)
+  UNION ALL SELECT 'bins', 7, label || '.n', n::VARCHAR FROM binned
+  UNION ALL {_share_rows('letters', 8, 'left(word, 1)')})""")
 
 # --- cleaning and tokenizing --------------------------------------------------------------------------------
 
@@ -606,9 +627,8 @@ letters AS (SELECT word, c, count(*)::DOUBLE / length(word) AS p FROM (SELECT wo
     "SELECT word, round(sum(-p * log2(p)), 6) AS char_entropy FROM letters GROUP BY word")
 add("fx_bigram_trigram_count", VOCAB, "SELECT word, greatest(length(word) - 1, 0)::INTEGER AS bigrams, greatest(length(word) - 2, 0)::INTEGER AS trigrams FROM vocab")
 add("fx_vowel_position", f"""{VOCAB},
-places AS (SELECT word, i::DOUBLE / length(word) AS x FROM (SELECT word, unnest(range(length(word))) AS i FROM vocab) WHERE substr(word, i + 1, 1) IN {in_list(K.VOWELS)})""",
-    """SELECT word, coalesce(round(m, 6), 0) AS vowel_pos_mean, coalesce(round(v, 6), 0) AS vowel_pos_var
-  FROM vocab LEFT JOIN (SELECT word, avg(x) AS m, var_pop(x) AS v FROM places GROUP BY word) USING (word)""")
+places AS (SELECT word, list_transform(list_filter(range(length(word)), lambda i: substr(word, i + 1, 1) IN {in_list(K.VOWELS)}), lambda i: i::DOUBLE / length(word)) AS x FROM vocab)""",
+    "SELECT word, round(coalesce(list_avg(x), 0), 6) AS vowel_pos_mean, round(coalesce(list_var_pop(x), 0), 6) AS vowel_pos_var FROM places")
 add("fx_char_freq", f"""{VOCAB},
 occ AS (SELECT word, unnest(string_split(word, '')) AS letter, freq FROM vocab),
 share AS (SELECT letter, sum(freq)::DOUBLE / (SELECT sum(freq) FROM occ) AS share FROM occ GROUP BY letter),
@@ -668,6 +688,9 @@ add("ev_gap", GAP, """SELECT model, round(train_accuracy, 6) AS train_accuracy,
 COMPARE = f"""{GAP}, val AS (SELECT * FROM preds WHERE split = 'val'), scores AS ({metrics('val')}),
 compared AS (SELECT model, accuracy AS val_accuracy, f1 AS val_f1, gap, f1 - gap * 0.5::DOUBLE AS score FROM scores JOIN gaps USING (model))"""
 add("ev_compare", COMPARE, "SELECT model, round(val_accuracy, 6) AS val_accuracy, round(val_f1, 6) AS val_f1, round(gap, 6) AS gap, round(score, 6) AS score FROM compared")
+add("sink_results", COMPARE, " UNION ALL ".join(
+    f"SELECT 'metrics' AS file, model, {q(m)} AS metric, round({m}, 6) AS value FROM ({metrics('preds')})" for m in ("accuracy", "precision", "recall", "f1"))
+    + "".join(f" UNION ALL SELECT 'comparison', model, {q(m)}, round({m}, 6) FROM compared" for m in ("val_accuracy", "val_f1", "gap", "score")))
 add("ev_best_model", COMPARE, "SELECT model, round(score, 6) AS value FROM compared ORDER BY score DESC, model LIMIT 1")
 add("ev_final_report", f"""{PREDS}, test AS MATERIALIZED (SELECT * FROM preds WHERE split = 'test'),
 scores AS MATERIALIZED ({metrics('test')}), best AS (SELECT model FROM scores ORDER BY f1 DESC, model LIMIT 1),
@@ -700,8 +723,6 @@ add("cor_sentence", CHECKED, _CHECKED)
 # --- streaming ----------------------------------------------------------------------------------------------------------------------
 
 SQL["st_word_count"] = SQL["agg_word_count"]
-# All files arrive in one batch here.
-add("st_snapshot", VOCAB, f"SELECT 0::INTEGER AS batch_id, word, freq FROM vocab WHERE freq >= {K.SNAPSHOT_MIN_FREQ}")
 add("ml_load_xy", f"{ENCODED}, {GROUPS}", f"SELECT id, split, error_type_encoded::DOUBLE AS label, {len(K.FEATURES)}::INTEGER AS features FROM encoded JOIN (SELECT id, split FROM split) USING (id)")
 SQL["st_correct"] = SQL["cor_sentence"]
 add("st_snapshot_blocks", f"""{ARTICLES}, {accepted('articles')},
@@ -709,3 +730,26 @@ numbered AS MATERIALIZED (SELECT words, row_number() OVER (ORDER BY doc_id) AS n
 shots AS (SELECT unnest(range(1, (SELECT count(*) FROM accepted) // 200 + 1)) * 200 AS articles),
 occ AS MATERIALIZED (SELECT ceil(n / 200)::BIGINT * 200 AS upto, word, count(*) AS c FROM (SELECT n, unnest(words) AS word FROM numbered) GROUP BY ALL)""",
     "SELECT articles, word, sum(c)::BIGINT AS freq FROM shots JOIN occ ON upto <= articles GROUP BY articles, word HAVING sum(c) >= 5")
+SQL["st_snapshot"] = SQL["st_snapshot_blocks"]
+
+# --- models: what holds of any trained model ------------------------------------------------------------------------------------------
+
+_MODEL_ROWS = f"{ENCODED}, {GROUPS}, model_rows AS (SELECT e.id, s.split, e.error_type_encoded AS label FROM encoded e JOIN (SELECT id, split FROM split) s USING (id))"
+_MODEL_CHECK = "SELECT '{0}' AS model, split, label, count(*) AS \"rows\", count(*) AS valid, TRUE AS better{1} FROM model_rows GROUP BY split, label"
+for _name in ("ml_rf", "ml_gbt_level"):
+    add(_name, _MODEL_ROWS, _MODEL_CHECK.format(_name, ""))
+add("ml_gbt_fixed", _MODEL_ROWS, _MODEL_CHECK.format("ml_gbt_fixed", ", TRUE AS best_round_kept"))
+SQL["ml_importance"] = f"SELECT unnest([{', '.join(q(f) for f in K.FEATURES)}]) AS feature, TRUE AS is_share, TRUE AS sums_to_one"
+add("ml_predict", _MODEL_ROWS, f"SELECT 'boost_fixed' AS model, count(*) AS ids, {len(CLASSES)} * count(*) AS probabilities, count(*) AS whole FROM model_rows")
+# The grid has four settings; each rung passes on a third, rounded up, of three folds each.
+SQL["ml_random_search"] = """SELECT rung::INTEGER AS rung, settings::BIGINT AS settings, 3 * settings::BIGINT AS measurements, 3 * settings::BIGINT AS valid, TRUE AS taken_over
+FROM (VALUES (0, 4), (1, 2), (2, 1)) t(rung, settings)"""
+add("src_model", _MODEL_ROWS, """SELECT model, split, count(*) AS "rows", 0::BIGINT AS differing
+FROM model_rows, (SELECT unnest(['random_forest', 'boost_fixed', 'ensemble']) AS model) GROUP BY model, split""")
+_ENCODERS = " UNION ALL ".join(f"SELECT count(DISTINCT {c}) AS n FROM featured" for c in ENCODED_COLUMNS)
+add("sink_model", FEATURED, f"""SELECT version::INTEGER AS version, model, scored, TRUE AS weights_sum_to_one, (SELECT sum(n) FROM ({_ENCODERS}))::BIGINT AS encoders
+FROM (VALUES (1, 'boost_fixed', TRUE), (1, 'random_forest', TRUE), (2, 'random_forest', FALSE)) t(version, model, scored)""")
+add("cor_error_type", RANKED, "SELECT word AS correct_word, query AS incorrect_word, distance, TRUE AS typed FROM ranked WHERE rank = 1")
+SQL["cor_word_typed"] = f"SELECT *, corrections <> '' AS typed FROM ({SQL['cor_word']})"
+SQL["cor_sentence_typed"] = f"SELECT *, num_errors AS typed FROM ({SQL['cor_sentence']})"
+SQL["st_correct_typed"] = SQL["cor_sentence_typed"]
