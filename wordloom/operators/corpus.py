@@ -22,12 +22,14 @@ def candidate_articles(pages: DataFrame) -> DataFrame:
     )
 
 
-def accepted_articles(pages: DataFrame) -> DataFrame:
-    """(doc_id, words) of the articles that count.
+def accepted_articles(pages: DataFrame, max_articles: int | None = None) -> DataFrame:
+    """(doc_id, words) of the articles that count, with ``max_articles`` those of ``first_articles``.
 
     Cleaned text and words are pinned, so each is computed once although a
     length gate follows it.
     """
+    if max_articles is not None:
+        return first_articles(pages, max_articles)
     raw = candidate_articles(pages).select("doc_id", "text")
     cleaned = pinned(raw, "_clean", tx.clean_text(F.col("text"))).where(
         F.length("_clean") > K.MIN_CLEAN_CHARS
@@ -64,8 +66,7 @@ def first_articles(pages: DataFrame, max_articles: int) -> DataFrame:
 
 def article_words(pages: DataFrame, max_articles: int | None = None) -> DataFrame:
     """One row per word occurrence."""
-    kept = accepted_articles(pages) if max_articles is None else first_articles(pages, max_articles)
-    return kept.select("doc_id", F.explode("words").alias("word"))
+    return accepted_articles(pages, max_articles).select("doc_id", F.explode("words").alias("word"))
 
 
 def word_count(pages: DataFrame, max_articles: int | None = None) -> DataFrame:
