@@ -99,10 +99,10 @@ def test_many_addresses(spark):
 
 
 def test_long_runs_take_linear_time(spark):
-    """A megabyte of every shape that a pattern might walk again and again."""
+    """A quarter of a megabyte of every shape that a pattern might walk again and again."""
     shapes = {
-        "letters": "q" * 1_000_000, "domain": "x@" + "b." * 500_000 + "com", "secret": "password=" + "0aB_" * 250_000, "digits": "1" * 1_000_000,
-        "dotted": "a.b-" * 250_000, "words": "Mr. Aa " * 140_000, "at signs": "a@" * 500_000,
+        "letters": "q" * 250_000, "domain": "x@" + "b." * 125_000 + "com", "secret": "password=" + "0aB_" * 62_500, "digits": "1" * 250_000,
+        "dotted": "a.b-" * 62_500, "words": "Mr. Aa " * 35_000, "at signs": "a@" * 125_000,
     }
     spark.createDataFrame([(1, "password=abcdefgh1")], "doc_id BIGINT, text STRING").transform(surrogates.replace_private, "k").collect()
     for name, text in shapes.items():
@@ -112,7 +112,7 @@ def test_long_runs_take_linear_time(spark):
         took = time.perf_counter() - start
         assert len(row.text) >= len(text) // 2 and took < 60, (name, took)
         if name == "secret":
-            assert row.text != text and row.text.startswith("password=") and re.fullmatch(r"(\d[a-z][A-Z]_){250000}", row.text[9:])
+            assert row.text != text and row.text.startswith("password=") and re.fullmatch(r"(\d[a-z][A-Z]_){62500}", row.text[9:])
         elif name != "words":
             assert row.text == text
 
