@@ -128,3 +128,11 @@ def test_empty_tables(empty):
     assert bpe.encode(empty, WORD_BPE).count() == 0
     assert token_counts.count_tokens(empty, BYTE_BPE).count() == 0
     assert quality.judge(empty).count() == 0
+
+
+def test_table_of_few_rows_changes_no_count(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    want = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, BYTE_BPE).collect()}
+    monkeypatch.setattr(token_counts, "SAMPLE_ROWS", 10)
+    assert token_counts.frequent_pre_tokens(docs, BYTE_BPE).num_rows > 0
+    assert {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, BYTE_BPE).collect()} == want
