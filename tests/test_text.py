@@ -1,3 +1,5 @@
+import functools
+
 from pyspark.sql import functions as F
 
 from wordloom.functions import text as tx
@@ -40,6 +42,27 @@ def test_clean_null_is_empty(spark):
     assert one(spark, tx.clean_text, None) == ""
 
 
+ODD_TEXTS = [
+    None, "", " ", "plain words, no markup; it's  fine - really!", "a{{b}}c {{d\ne}} {x}", "[{{x}}[a|b]] [[c]] [[d", "= =={{=}} ==\n== h == t",
+    "<b>x</b> a < b", "see http://x.y/z?q now", "htt{{x}}p://joined end", "tab\tnbsp\u00a0thin\u2009line\u2028x\u0085y\x1cz\x00w", "\u00a0 # lead and trail @ \u3000",
+    "a*/b \U0001F600 c\u0301d \u200b e", "été Ünï 數字 ٣ _x_ $5", "{{" * 50 + "==" * 50, "1 | 2 | 3\r\n\r\n4", "x" + "# " * 100 + "y",
+]
+
+
+def test_cleaning_in_fewer_passes_gives_what_the_single_steps_give(spark):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(ODD_TEXTS)], "id int, text string")
+    chain = functools.reduce(lambda t, step: step(t), tx.CLEANING_STEPS, F.col("text"))
+    for r in rows.select("text", chain.alias("want"), tx.clean_text(F.col("text")).alias("got")).collect():
+        assert r.got == r.want, r.text
+
+
+def test_texts_without_markup_pass_one_pattern(spark):
+    rows = spark.range(1).select(F.col("id").cast("string").alias("text"))
+    plan = rows.select(tx.clean_text(F.col("text")).alias("out"))._jdf.queryExecution().optimizedPlan().toString()
+    always = plan[: plan.index("CASE WHEN")] + plan[plan.index(" ELSE ") :]
+    assert always.count("regexp_replace(") == 1 and plan.count("regexp_replace(") == 7
+
+
 def test_unicode_blanks_collapse(spark):
     assert one(spark, tx.collapse_space, "  a \tb\x1c") == "a b"
 
