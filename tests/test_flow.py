@@ -1,9 +1,11 @@
 """Jobs without SQL: models, files, streams."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from wordloom.operators import correct, corpus, evaluate as ev, models
 from wordloom.plans import inputs
+from wordloom.plans.catalog import QUERIES
 from wordloom.sources import files, tables
 from wordloom.staging import fresh_path
 
@@ -96,3 +98,24 @@ def test_snapshots(spark, sf):
     assert {r.articles for r in shots.select("articles").distinct().collect()} == set(range(50, n + 1, 50))
     grown = shots.groupBy("word").agg(F.max_by("freq", "articles").alias("last"), F.max("freq").alias("most"))
     assert grown.where("last <> most").count() == 0
+
+
+@pytest.mark.parametrize("name", ["cor_error_type", "cor_word_typed", "cor_sentence_typed"])
+def test_typed_corrections_count_the_corpus_once(spark, tmp_path, monkeypatch, name):
+    """Dictionary and training data come from one staged vocabulary."""
+
+    class Training(Exception):
+        pass
+
+    def stop(*args, **kwargs):
+        raise Training
+
+    text = "some plain words of a text that is long enough to count " * 4
+    spark.createDataFrame([(1, text, "en", "src9", len(text))], tables.SCHEMAS["documents"]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, "user", "som plain wrds")], tables.SCHEMAS["conversations"]).write.parquet(f"{tmp_path}/conversations.parquet")
+    counted, count = [], inputs.vocab
+    monkeypatch.setattr(inputs, "vocab", lambda *args: counted.append(args) or count(*args))
+    monkeypatch.setattr(inputs.synth, "build_dataset", stop)
+    with pytest.raises(Training):
+        QUERIES[name](spark, str(tmp_path))
+    assert len(counted) == 1
