@@ -175,3 +175,25 @@ def test_any_model_of_a_bundle_types_errors(spark, sf):
         typed = {r.incorrect_word: r for r in models.error_types(pairs, made.typer(name)).collect()}
         assert typed["woould"].error_type == "insertion" and typed["wuld"].error_type == "deletion"
     assert set(made.f1) == set(made.models) and xy.count() > 0
+
+
+def test_models_are_fitted_on_all_rows(spark, monkeypatch):
+    """Boosting with fixed settings and the search get every row of their splits, however many there are."""
+    n, fitted = 25_000, {}
+    features = array_to_vector(F.array(F.rand(1), F.rand(2)))
+    split = F.when(F.col("id") % 10 == 0, "test").when(F.col("id") % 10 < 3, "val").otherwise("train")
+    many = spark.range(n).select("id", split.alias("split"), (F.col("id") % 3).cast("double").alias("label"), features.alias("features"))
+
+    class Fitting:
+        def __init__(self, classes, validation=None, **settings):
+            pass
+
+        def fit(self, df):
+            fitted["fixed"] = df.groupBy("is_val").count().collect()
+
+    monkeypatch.setattr(models, "SoftmaxBoost", Fitting)
+    monkeypatch.setattr(models, "halving_search", lambda make, settings, budget, train, *args, **more: fitted.update(searched=train.count()))
+    models.train_boost_fixed(many, 3, "smoke")
+    models.random_search(None, models.FOREST_GRIDS["smoke"], 1, many, "numTrees", "unused")
+    assert {r.is_val: r["count"] for r in fitted["fixed"]} == {False: n * 7 // 10, True: n * 2 // 10}
+    assert fitted["searched"] == n
