@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from public_tokenizers import path
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from wordloom.llm import bpe, quality, token_counts
@@ -136,3 +137,49 @@ def test_table_of_few_rows_changes_no_count(spark, sf, monkeypatch):
     monkeypatch.setattr(token_counts, "SAMPLE_ROWS", 10)
     assert token_counts.frequent_pre_tokens(docs, BYTE_BPE).num_rows > 0
     assert {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, BYTE_BPE).collect()} == want
+
+
+def test_frequent_table_is_fitted_on_all_rows(spark, monkeypatch):
+    n, staged, stage = 150_000, [], token_counts.stage
+    texts = spark.range(n).select(F.concat(F.lit("one two"), F.when(F.col("id") % 2 == 0, " three").otherwise("")).alias("text"))
+    monkeypatch.setattr(token_counts, "stage", lambda df, name: staged.append(stage(df, name)) or staged[-1])
+    token_counts.frequent_pre_tokens(texts, BYTE_BPE)
+    assert {r.piece: r.n for r in staged[0].collect()} == {"one": n, " two": n, " three": n // 2}
+
+
+def test_table_decides_no_count(spark, sf, monkeypatch):
+    """Neither a table of few rows nor an empty one; nor a cache that forgets."""
+    docs, fitted = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), token_counts.frequent_pre_tokens
+    want = sorted((r.doc_id, r.n_tokens) for r in token_counts.count_tokens(docs, BYTE_BPE).collect())
+    for rows in (10, 0):
+        monkeypatch.setattr(token_counts, "frequent_pre_tokens", lambda df, path, text: fitted(df.limit(rows), path, text))
+        assert sorted((r.doc_id, r.n_tokens) for r in token_counts.count_tokens(docs, BYTE_BPE).collect()) == want
+
+
+def test_tiers_keep_the_frequent_ones():
+    made = []
+    tiers = token_counts._Tiers({"a": 1, "b": 2}, lambda p: made.append(p) or len(p), 2)
+    assert [tiers[p] for p in ("a", "xxx", "yyyy", "xxx", "zzzzz", "b", "a", "xxx")] == [1, 3, 4, 3, 5, 2, 1, 3]
+    assert made == ["xxx", "yyyy", "zzzzz"] and len(tiers) <= 4
+
+
+def test_plain_texts_are_cut_as_by_the_pattern():
+    coder = bpe.load(BYTE_BPE)
+    plain = [c for c in map(chr, range(0x250)) if not bpe._PLAIN.search(c)]
+    for c in plain:
+        text = f"a{c}1{c}{c} {c}.{c}\n{c} '{c}'s"
+        assert token_counts._pieces(coder, text) == coder.pattern.findall(text)
+    draw = random.Random(6)
+    some = plain[:0x60] + ["'s", "'ve", "'ll", "  ", " \n", "\xa0", "\x85", "\xb2", "\xbd", "\xe9"] * 5
+    for _ in range(3000):
+        text = "".join(draw.choice(some) for _ in range(40))
+        assert token_counts._pieces(coder, text) == coder.pattern.findall(text)
+
+
+@pytest.mark.parametrize("vocabulary", [WORD_BPE, BYTE_BPE])
+def test_length_is_that_of_the_merged_ids(vocabulary, monkeypatch):
+    coder, draw = bpe.load(vocabulary), random.Random(7)
+    pieces = [x.encode() for t in fuzz(2000, 8) for x in t.split()] + [bytes(draw.choices(b"abeinst", k=k)) for k in range(120)] + [b"", b"a" * 47, b"a" * 48, b"a" * 49]
+    assert [coder.length(p) for p in pieces] == [len(coder.merge(p)) for p in pieces]
+    monkeypatch.setattr(bpe, "SHORT_BYTES", 1_000)
+    assert [coder.length(p) for p in pieces] == [len(coder.merge(p)) for p in pieces]
